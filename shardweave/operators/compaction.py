@@ -37,7 +37,7 @@ def parse_lines(files: DataFrame, content: str = "content", schema: str = RECORD
 
 
 def _row_hash(columns: list[str]) -> Column:
-    return F.xxhash64(*[F.coalesce(F.col(c).cast("string"), F.lit("\u0000null")) for c in columns])
+    return F.xxhash64(*[F.coalesce(F.col(c).cast("string"), F.lit("\x00null")) for c in columns])
 
 
 def checksum_exprs(columns: list[str]) -> list[Column]:
