@@ -22,8 +22,8 @@ from ..runtime import materialize
 
 # Letters of other scripts that are drawn like a Latin letter, Latin letter first.
 LATIN_TWINS = (
-    "aаɑα", "cсϲ", "dԁ", "eе", "gɡ", "hһ", "iіι", "jјϳ", "lӏ", "oоο", "pрρ", "qԛ", "sѕ", "vѵν", "wԝ", "xх", "yуγ",
-    "AАΑ", "BВΒ", "CСϹ", "DԀ", "EЕΕ", "GԌ", "HНΗ", "IІΙӀ", "JЈͿ", "KКΚ", "MМΜ", "NΝ", "OОΟ", "PРΡ", "QԚ", "SЅ", "TТΤ", "VѴ", "WԜ", "XХΧ", "YҮΥУ", "ZΖ",
+    "aаɑα", "cсϲ", "dԁ", "eе", "gɡ", "hһ", "iіι", "jјϳ", "lӏӀ", "oоο", "pрρ", "qԛ", "sѕ", "vѵ", "wԝ", "xх", "yуγ",
+    "AАΑ", "BВΒ", "CСϹ", "DԀ", "EЕΕ", "GԌ", "HНΗ", "IІΙ", "JЈͿ", "KКΚ", "MМΜ", "NΝ", "OОΟ", "PРΡ", "QԚ", "SЅ", "TТΤ", "VѴ", "WԜ", "XХΧ", "YҮΥУ", "ZΖ",
 )
 # Letters of two other scripts that are drawn alike, with no Latin one beside them.
 OTHER_TWINS = ("ФΦ", "фφ", "ГΓ", "ПΠ", "кκ", "εє")

@@ -9,8 +9,10 @@ from .bpe import encode_corpus
 from .budget import encoded_counts, text_counts, token_cube
 from .copies import collapse_copies, copy_classes
 from .curve_packing import fill_report, pack_sequences
+from .leaks import find_leaks
 from .lookalikes import consistent_text, look_alike_pairs
 from .mixture import draw_mix, shard_items
+from .pair_defects import find_defects, question_pairs
 
 
 def _read(spark: SparkSession, sf: str, table: str) -> DataFrame:
@@ -41,6 +43,10 @@ def p3_collapsed(spark: SparkSession, sf: str) -> DataFrame:
     return collapse_copies(_read(spark, sf, "manifest"))
 
 
+def p5_found(spark: SparkSession, sf: str) -> DataFrame:
+    return find_defects(question_pairs(_read(spark, sf, "manifest_qa"), _read(spark, sf, "packed")))
+
+
 def _counts(spark: SparkSession, sf: str) -> DataFrame:
     encoded = encoded_counts(_read(spark, sf, "tokenized")).withColumn("tab", F.lit("tokenized"))
     texts = text_counts(_read(spark, sf, "manifest")).withColumn("tab", F.lit("manifest"))
@@ -63,6 +69,10 @@ def p7_ids(spark: SparkSession, sf: str) -> DataFrame:
     return encode_corpus(_read(spark, sf, "documents"))
 
 
+def p8_found(spark: SparkSession, sf: str) -> DataFrame:
+    return find_leaks(_read(spark, sf, "documents"), _read(spark, sf, "eval_items")).select("doc_id", "item_id").distinct()
+
+
 def p9_found(spark: SparkSession, sf: str) -> DataFrame:
     return look_alike_pairs(_read(spark, sf, "documents"))
 
@@ -78,10 +88,12 @@ QUERIES = {
     "p2_shares": p2_shares,
     "p3_found": p3_found,
     "p3_collapsed": p3_collapsed,
+    "p5_found": p5_found,
     "p6_counts": p6_counts,
     "p6_totals": p6_totals,
     "p6_encoded_totals": p6_encoded_totals,
     "p7_ids": p7_ids,
+    "p8_found": p8_found,
     "p9_found": p9_found,
     "p9_forms": p9_forms,
 }
