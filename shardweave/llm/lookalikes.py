@@ -38,6 +38,7 @@ SAME_SHAPE = ("<wide>", "<narrow>", "<noBreak>")
 COMPOSED = ((0x00C0, 0x0250), (0x0370, 0x0400), (0x0400, 0x0530), (0x1E00, 0x2000))
 EMOJI = "\U0001f000-\U0001faff\u2600-\u27bf"
 _JOINED_EMOJI = re.compile(f"(?<=[{EMOJI}\ufe0f])\u200d(?=[{EMOJI}])")
+_MARKED = re.compile("[^\\W\\d][\u0300-\u036f]+")
 _KEEP = "\ue000"  # stands for the joiner of an emoji sequence, which is visible, while invisible ones go
 
 
@@ -121,6 +122,8 @@ class Rewriter:
 
     def __init__(self, table: dict[str, str]):
         self.single = {ord(k): v for k, v in table.items() if len(k) == 1}
+        #: Every longer pattern holds one of these; a text without them needs no more than single characters.
+        self.signs = {next((c for c in k if ud.combining(c)), k[0]) for k in table if len(k) > 1}
         self.long = ahocorasick.Automaton()
         for k, v in table.items():
             self.long.add_word(k, (len(k), v))
@@ -128,6 +131,8 @@ class Rewriter:
             self.long.make_automaton()
 
     def _greedy(self, text: str) -> str:
+        if self.signs.isdisjoint(text):
+            return text.translate(self.single)
         out, done = [], 0
         for end, (n, to) in self.long.iter_long(text):
             out += (text[done : end + 1 - n], to)
@@ -153,15 +158,14 @@ def form_frequencies(df: DataFrame, text: str) -> dict[str, int]:
     Counted per partition and summed; at most one row per class member (a few thousand) reaches the driver.
     """
     known = {s for m in look_alike_classes() for s in m if s}
-    multi = [s for s in known if len(s) > 1]
+    multi = {s for s in known if len(s) > 1}
 
     def count(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen: Counter[str] = Counter()
         for b in batches:
             whole = "\n".join(b[text].dropna())
             seen.update({c: n for c, n in Counter(whole).items() if c in known})
-            if any(ud.combining(c) for c in set(whole)):
-                seen.update({s: n for s in multi if (n := whole.count(s))})
+            seen.update(s for s in _MARKED.findall(whole) if s in multi)
         yield pd.DataFrame({"form": list(seen), "n": list(seen.values())}, dtype=object).astype({"n": "int64"})
 
     rows = df.select(text).mapInPandas(count, "form string, n long").groupBy("form").agg(F.sum("n").alias("n")).collect()
