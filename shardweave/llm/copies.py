@@ -24,7 +24,7 @@ from ..runtime import materialize
 #: What stays of a text when white space, punctuation and other signs are ignored.
 STRIP = r"[^\p{L}\p{N}\p{M}]+"
 #: Letter groups of the histogram.  One count per group and row; together with length and path they isolate nearly all rows.
-LETTER_GROUPS = ("a", "e", "i", "o", "n", "t", "rs", "dhl", "012345", "6789", "оаи", "的在一")
+LETTER_GROUPS = ("ae", "io", "nt", "rs", "0123456789", "оаи的在一")
 _KEPT = regex.compile(STRIP)
 _NAMED = re.compile(r"\s*([^\W\d]\w*)\s*[:=]\s*(.*?)\s*", re.S)
 _FIELD_END = re.compile(r"[;|\n\r]+")
@@ -45,10 +45,9 @@ def _decoded(v: Column) -> Column:
     return F.coalesce(F.when(F.length(text) > 0, text), v)
 
 
-def cheap_key(path: Column, value: Column) -> Column:
-    """64-bit invariant: equal for all copies of a record, mostly different for others."""
-    s = folded(_decoded(value))
-    counts = [F.length(s) - F.length(F.translate(s, g, "")) for g in LETTER_GROUPS]
+def cheap_key(path: Column, s: Column) -> Column:
+    """64-bit invariant: equal for all copies of a record, mostly different for others; ``s`` is the folded value."""
+    counts = [F.length(F.translate(s, g, "")) for g in LETTER_GROUPS]
     return F.xxhash64(F.coalesce(folded(path), F.lit("\x00")), F.length(s), *counts)
 
 
@@ -97,7 +96,8 @@ def copy_classes(df: DataFrame, id_col: str = "rec_id", path: str = "video_path"
     the smallest id of the class.  Ids that stand twice count as two copies.
     """
     base = df.select(F.col(id_col).alias("rec_id"), F.col(path).alias("path"), F.col(value).alias("value"))
-    base = base.filter(F.col("value").rlike(r"[^\s\p{Z}\p{C}]")).withColumn("cheap", cheap_key(F.col("path"), F.col("value")))
+    base = base.filter(F.col("value").rlike(r"[^\s\p{Z}\p{C}]")).withColumn("letters", folded(_decoded(F.col("value"))))
+    base = base.withColumn("cheap", cheap_key(F.col("path"), F.col("letters"))).drop("letters")
     sizes = base.groupBy("cheap").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("cheap")
     several = base.join(sizes, "cheap", "left_semi")
     keyed = materialize(several.select("rec_id", _costly_key("path", "value").alias("record")), "records")
