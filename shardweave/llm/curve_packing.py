@@ -166,9 +166,9 @@ def _samples(b: pa.RecordBatch) -> Iterator[tuple[int, int, np.ndarray, np.ndarr
     flat, ends = ids.values.fill_null(0).to_numpy(zero_copy_only=False), ids.offsets.to_numpy()
     mflat, mends = mask.values.fill_null(0).to_numpy(zero_copy_only=False), mask.offsets.to_numpy()
     for i in range(b.num_rows):
-        x = flat[ends[i] : ends[i + 1]]
+        x = flat[ends[i] : ends[i + 1]].copy()  # a view would keep the whole batch alive in an open sequence
         m = mflat[mends[i] : mends[i + 1]][: len(x)]
-        yield curve[i], sample[i], x, m if len(m) == len(x) else np.concatenate([m, np.zeros(len(x) - len(m), m.dtype)])
+        yield curve[i], sample[i], x, np.concatenate([m, np.zeros(len(x) - len(m), m.dtype)])
 
 
 def pack_sequences(df: DataFrame, id_col: str = "sample_id", ids: str = "input_ids", mask: str = "loss_mask", capacity: int = CAPACITY) -> DataFrame:
