@@ -84,6 +84,11 @@ def waves(df: DataFrame, shard_size: int, start: int = 0, end: int | None = None
     return slice_rows(df, start, end, 1, pos).withColumn("group_id", F.floor((F.col(pos) - start) / shard_size).cast("bigint"))
 
 
+def _in_order(rows: Column, pos: str) -> Column:
+    """Structs sorted by one field; the others may be maps, which have no order."""
+    return F.array_sort(rows, lambda a, b: F.when(a[pos] < b[pos], -1).when(a[pos] > b[pos], 1).otherwise(0))
+
+
 def _column(rows: str, name: str) -> Column:
     return F.transform(rows, lambda r: r[name])
 
@@ -95,7 +100,7 @@ def batched(df: DataFrame, size: int, partial: bool = True, by: list[str] | None
     """
     keys, cols = by or [], [c for c in df.columns if c not in (by or []) and c != pos]
     batch = F.floor(F.col(pos) / size).cast("bigint")
-    rows = F.array_sort(F.collect_list(F.struct(pos, *cols)))
+    rows = _in_order(F.collect_list(F.struct(pos, *cols)), pos)
     out = df.groupBy(*keys, batch.alias("batch")).agg(rows.alias("__rows__"))
     out = out if partial else out.filter(F.size("__rows__") == size)
     return out.select(*keys, "batch", *[_column("__rows__", c).alias(c) for c in cols])
@@ -104,7 +109,7 @@ def batched(df: DataFrame, size: int, partial: bool = True, by: list[str] | None
 def listed(df: DataFrame, size: int, by: list[str] | None = None, pos: str = POS) -> DataFrame:
     """Like :func:`batched`, but the rows stay together as an array of structs (``items``)."""
     keys, cols = by or [], [c for c in df.columns if c not in (by or []) and c != pos]
-    rows = F.array_sort(F.collect_list(F.struct(pos, F.struct(*cols).alias("item"))))
+    rows = _in_order(F.collect_list(F.struct(pos, F.struct(*cols).alias("item"))), pos)
     return df.groupBy(*keys, F.floor(F.col(pos) / size).cast("bigint").alias("batch")).agg(F.transform(rows, lambda r: r["item"]).alias("items"))
 
 

@@ -125,6 +125,7 @@ class TarWriter(DataSourceWriter):
     def write(self, rows: Iterator) -> Written:
         os.makedirs(self.path, exist_ok=True)
         mtime, mode = float(self.options.get("mtime", 0)), int(self.options.get("mode", "0444"), 8)
+        meta = self.options.get("keep_meta", "false") == "true"
         files, tar, now = [], None, object()
         for r in rows:
             if r["shard"] != now:  # a task may get several shards, one after the other
@@ -135,9 +136,12 @@ class TarWriter(DataSourceWriter):
                 part = os.path.join(self.path, f".{name}.{uuid.uuid4().hex}")
                 files.append((part, os.path.join(self.path, name)))
                 tar = tarfile.open(part, "w:gz" if name.endswith("gz") else "w", format=tarfile.PAX_FORMAT)
-            pairs = sorted((f"{r['key']}.{k}", v) for k, v in r["fields"].items()) if "fields" in self.names else [(r["fname"], r["data"])]
+            if "fields" in self.names:
+                pairs = [(f"{r['key']}.{k}", v) for k, v in sorted(r["fields"].items(), key=lambda x: x[0]) if meta or not k.startswith("_")]
+            else:
+                pairs = [(r["fname"], r["data"])]
             for name, data in pairs:
-                if data is None or (name.rsplit("/", 1)[-1].startswith("_") and self.options.get("keep_meta", "false") != "true"):
+                if data is None:
                     continue
                 m = tarfile.TarInfo(name)
                 m.size, m.mtime, m.mode = len(data), mtime, mode
