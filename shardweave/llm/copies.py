@@ -24,15 +24,15 @@ from ..runtime import materialize
 #: What stays of a text when white space, punctuation and other signs are ignored.
 STRIP = r"[^\p{L}\p{N}\p{M}]+"
 #: Letter groups of the histogram.  One count per group and row; together with length and path they isolate nearly all rows.
-LETTER_GROUPS = ("ae", "io", "nt", "rs", "0123456789", "оаи的在一")
+LETTER_GROUPS = ("AE", "IO", "NT", "RS", "0123456789", "ОАИ的在一")
 _KEPT = regex.compile(STRIP)
 _NAMED = re.compile(r"\s*([^\W\d]\w*)\s*[:=]\s*(.*?)\s*", re.S)
 _FIELD_END = re.compile(r"[;|\n\r]+")
 
 
 def folded(c: Column) -> Column:
-    """Case folded (ß as ss) and stripped of everything but letters, marks and digits."""
-    return F.regexp_replace(F.lower(F.upper(c)), STRIP, "")
+    """In upper case (so that ß is SS) and stripped of everything but letters, marks and digits."""
+    return F.regexp_replace(F.upper(c), STRIP, "")
 
 
 def _decoded(v: Column) -> Column:
@@ -52,7 +52,7 @@ def cheap_key(path: Column, s: Column) -> Column:
 
 
 def _letters(s: str) -> str:
-    return _KEPT.sub("", s.upper().lower())
+    return _KEPT.sub("", s.upper())
 
 
 def _canonical(x: object) -> object:

@@ -1,0 +1,391 @@
+"""The operators for training data against brute force, on small made-up inputs with every kind of dirt."""
+
+import itertools
+import json
+import unicodedata
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from shardweave.llm import bpe, budget, copies, curve_packing, leaks, lookalikes, mixture, pair_defects
+
+ZWJ, SHY, NBSP = chr(0x200D), chr(0xAD), chr(0xA0)
+
+
+# ---- 1: packing -------------------------------------------------------------------------------------------------
+
+
+def test_hilbert_is_a_walk_over_all_cells():
+    cells = np.stack(np.meshgrid(*[np.arange(8)] * 3, indexing="ij"), -1).reshape(-1, 3)
+    key = curve_packing.hilbert_key(cells, 3)
+    assert sorted(key) == list(range(512))
+    assert np.abs(np.diff(cells[np.argsort(key)], axis=0)).sum(1).max() == 1
+
+
+def _tokenized(spark, rows):
+    return spark.createDataFrame(rows, "sample_id bigint, input_ids array<int>, loss_mask array<int>, seq_id string, n_tokens string")
+
+
+def test_packing_keeps_every_sample_whole(spark):
+    rng = np.random.default_rng(5)
+    sizes = [int(x) for x in rng.integers(1, 40, 300)] + [50, 50, 51, 149, 200]
+    rows = [(i, rng.integers(3, 30000, n).tolist(), [1] * n, "clash", None) for i, n in enumerate(sizes)]
+    rows += [(1000, [], [], None, None), (1001, None, None, None, None), (1002, [5, None, 7], [1], None, None), (1003, [9, 9], None, None, None)]
+    rows += [rows[0], rows[7], (7, rows[7][1], rows[7][2][:1], None, None), (None, [4, 4, 4], [1, 1, 1], None, None)]
+    got = curve_packing.pack_sequences(_tokenized(spark, rows), capacity=50).collect()
+    pieces = {}
+    for r in got:
+        assert r.n_tokens == len(r.input_ids) == len(r.loss_mask) == sum(r.lengths) <= 50
+        for s, at, n, off in zip(r.sample_ids, r.starts, r.lengths, r.sample_from, strict=True):
+            pieces.setdefault(s, []).append((off, r.input_ids[at : at + n], r.loss_mask[at : at + n]))
+    usable = {r[0]: r for r in reversed(rows) if r[1]}
+    assert set(pieces) == set(usable)
+    for s, parts in pieces.items():
+        ids = [x or 0 for x in usable[s][1]]
+        parts.sort()
+        assert sum((p[1] for p in parts), []) == ids
+        assert len(parts) == -(-len(ids) // 50)
+        mask = sum((p[2] for p in parts), [])
+        assert mask == ([1, 0, 0] if s == 1002 else [0, 0] if s == 1003 else [1] * len(ids))
+    fill = curve_packing.fill_report(curve_packing.pack_sequences(_tokenized(spark, rows), capacity=50), 50).first()
+    assert fill.fill > 0.93
+    assert len({r.seq_id for r in got}) == len(got)
+
+
+def test_packing_nothing(spark):
+    empty = _tokenized(spark, [])
+    assert curve_packing.pack_sequences(empty).count() == 0
+    assert curve_packing.fill_report(curve_packing.pack_sequences(empty)).first().asDict() == {"n_sequences": 0, "n_tokens": 0, "fill": 0.0}
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.integers(1, 130), max_size=80), st.integers(1, 5))
+def test_packer_loses_nothing(sizes, opened):
+    p, out = curve_packing.Packer(50, opened), []
+    for i, n in enumerate(sizes):
+        out += p.add(i, np.arange(n), np.ones(n))
+    out += p.finish()
+    assert all(sum(len(x[2]) for x in s) <= 50 for s in out)
+    got = sorted((x[0], x[1], len(x[2])) for s in out for x in s)
+    assert sum(x[2] for x in got) == sum(sizes)
+    assert [x[0] for x in got] == [i for i, n in enumerate(sizes) for _ in range(-(-n // 50))]
+
+
+# ---- 2: mixing --------------------------------------------------------------------------------------------------
+
+
+def test_flow_uses_overlap_to_meet_quotas():
+    sizes = {("a",): 100, ("b",): 10, ("a", "b"): 60}
+    flow, quotas = mixture.plan_mix(sizes, {"a": 0.5, "b": 0.5}, {"a": 1, "b": 1})
+    assert quotas == {"a": 70, "b": 70}
+    assert flow[("a", "b"), "b"] == 60 and flow[("b",), "b"] == 10 and flow[("a",), "a"] == 70
+
+
+def test_mix_meets_shares_and_caps(spark):
+    items = [(f"s3://x/pack/{s}/{i}", s, 10 + i % 7) for s, n in (("big", 400), ("mid", 60), ("tiny", 5)) for i in range(n)]
+    members = spark.createDataFrame(items, "item string, source string, size bigint")
+    targets = spark.createDataFrame([("big", 0.5, 1), ("Mid ", 0.3, 3), ("tiny", 0.1, 4), ("gone", 0.1, 9)], "source string, target_share double, max_repeats int")
+    mix = mixture.draw_mix(members, targets)
+    report = {r.source: r for r in mix.report.collect()}
+    drawn = mix.drawn.collect()
+    assert report["gone"].n_drawn == 0 and set(report) == {"big", "mid", "tiny", "gone"}
+    for s in ("big", "mid", "tiny"):
+        got = sum(r.n_drawn for r in drawn if r.source == s)
+        assert got == report[s].n_drawn
+        assert abs(report[s].actual_share - report[s].target_share / 0.9) < 1e-3
+        assert got <= report[s].max_repeats * report[s].n_available
+        assert max(r.passes for r in drawn if r.source == s) <= report[s].max_repeats
+        assert len({r.item for r in drawn if r.source == s}) == sum(r.source == s for r in drawn)
+    assert report["tiny"].repeats == pytest.approx(4, abs=0.05)  # the scarce source decides how large the mix can be
+    again = mixture.draw_mix(members, targets)
+    assert sorted(map(tuple, again.drawn.collect())) == sorted(map(tuple, drawn))
+    few = mixture.draw_mix(members, targets, total=100)
+    assert 97 <= sum(r.n_drawn for r in few.report.collect()) <= 100
+
+
+def test_shard_spellings_and_counts(spark):
+    rows = [
+        ("s3://a/pack/Cat/x.tar", 5, "2025-01-01"), ("s3a://a//pack/cat/x.tar", 7, "2025-01-02"), (" s3://a/pack/cat/x.tar", None, "2025-01-03"),
+        ("s3://a/pack/cat/zero.tar", 0, "2025-01-01"), ("/m/pack/dog/y.tar", 3, None), (None, 4, "2025-01-01"),
+    ]
+    df = spark.createDataFrame(rows, "url string, nsamples bigint, indexed_at string")
+    assert sorted(map(tuple, mixture.shard_items(df).collect())) == [("/m/pack/dog/y.tar", "dog", 3), ("s3://a/pack/cat/x.tar", "cat", 7)]
+
+
+def test_mix_of_nothing(spark):
+    members = spark.createDataFrame([], "item string, source string, size bigint")
+    targets = spark.createDataFrame([("a", 1.0, 2)], "source string, target_share double, max_repeats int")
+    mix = mixture.draw_mix(members, targets)
+    assert mix.drawn.count() == 0 and mix.report.first().actual_share == 0
+
+
+# ---- 3: copies --------------------------------------------------------------------------------------------------
+
+MANIFEST = [
+    (1, "s3://b/x_1.mp4", "The Cat sits."), (2, "s3://b/X-1.MP4", "the  cat\nSITS"), (3, " s3://b/x_1.mp4/", '"The cat sits"'), (4, "s3://b/x_2.mp4", "The cat sits."),
+    (5, "p", '{"left": "caf\\u00e9", "right": "b"}'), (6, "p", '{ "Right" : "B." , "LEFT" : "caf' + chr(0xE9) + '" }'), (7, "p", '{"left": "b", "right": "caf' + chr(0xE9) + '"}'),
+    (8, "p", "left: a b; right: c"), (9, "p", "Right = C | Left = A, b"), (10, "p", "left: c; right: a b"), (11, "p", "gro" + chr(0xDF) + "er Hund"), (12, "p", "GROSSER HUND!"),
+    (13, None, "same"), (14, None, "same"), (15, "p", None), (16, "p", None), (17, "p", "  \t"), (18, "p", ""), (19, "p", "same"), (20, "p", '{"broken": '), (21, "p", '{"BROKEN":'),
+    (22, "p", "cat the sits"), (23, "p", "the cat sits"), (24, "q", '["a", "b"]'), (25, "q", "[A, b]"), (26, "r", "Nach 3 Sekunden: ein Hund"), (27, "r", "nach 3 sekunden - ein hund"),
+]
+
+
+def _brute(rows):
+    groups = {}
+    for i, p, v in rows:
+        if v and v.strip():
+            key = (None if p is None else copies._letters(p), copies.canonical_value(v))
+            groups.setdefault(key, []).append(i)
+    return groups
+
+
+def test_copies_by_brute_force(spark):
+    df = spark.createDataFrame([(*r, "x") for r in MANIFEST], "rec_id bigint, video_path string, value string, record string")
+    got = {(r.first_id, r.rec_id) for r in copies.copy_classes(df).filter("rec_id <> first_id").collect()}
+    assert got == {(min(g), i) for g in _brute(MANIFEST).values() for i in g if i != min(g)}
+    assert got == {(1, 2), (1, 3), (5, 6), (8, 9), (11, 12), (13, 14), (20, 21), (24, 25), (26, 27)}
+    collapsed = {r.rec_id: r.n_copies for r in copies.collapse_copies(df).collect()}
+    assert sum(collapsed.values()) == len(MANIFEST) and collapsed[1] == 3 and collapsed[15] == 1
+    none = df.limit(0)
+    assert copies.copy_classes(none).count() == 0 and copies.collapse_copies(none).count() == 0
+
+
+def test_one_class_with_a_third_of_all_rows(spark):
+    df = spark.range(900).select(F.col("id").alias("rec_id"), F.lit("p").alias("video_path"), F.when(F.col("id") % 3 == 0, "Hot  row").otherwise(F.concat(F.lit("row"), F.col("id").cast("string"))).alias("value"))
+    got = copies.copy_classes(df)
+    assert got.count() == 300 and got.filter("first_id = 0 and n_copies = 300").count() == 300
+
+
+# ---- 5: pairs ---------------------------------------------------------------------------------------------------
+
+
+def _sample():
+    subjects = ["the cook", "a brown dog", "the old baker", "a tall waiter"]
+    verbs = ["opens the green door", "paints the garden fence", "folds a paper kite", "lifts a heavy basket"]
+    places = ["near the fountain", "in the school gym", "on the upper deck", "beside the canal"]
+    told = [f"{s.capitalize()} {v} {p}." for s, v, p in itertools.product(subjects, verbs, places)]
+    asked = [f"What does {s} do {p} in this clip?" for s, p in itertools.product(subjects, places)]
+    french = ["Le cuisinier ouvre la porte verte dans la cuisine.", "Un chien brun porte une caisse sous le pont.", "Le boulanger est dans le jardin avec une fillette."]
+    out = [(q, "", a) for q, a in zip(itertools.cycle(asked), told * 3, strict=False)]
+    out += [("Que fait le cuisinier dans la cuisine ?", "", f) for f in french * 12]
+    out += [(q, "", a) for q in asked for a in ("I'm sorry, but I can't help with this request.", q, french[0], "About seven seconds")]
+    return out
+
+
+@pytest.fixture(scope="module")
+def tagger():
+    return pair_defects.Tagger().fit(_sample())
+
+
+@pytest.mark.parametrize(
+    ("answer", "defect"),
+    [
+        (None, "empty"), ("", "empty"), (" \t", "empty"), ("N/A", "empty"), ("[no answer]", "empty"), ("...", "empty"), ("<image>", "empty"), (chr(0x200B), "empty"), ("-", "empty"),
+        ("The cook opens the green door near the fountain.", None), ("The cook opens the green door near the fountain", None), ("red", None), ("Yes", None), ("12", None),
+        ("The cook opens the", "truncated"), ("The cook opens the green do-", "truncated"), ("A brown dog paints the garden fence,", "truncated"), ("1. The cook folds a paper kite.\n2.", "truncated"),
+        ("I'm sorry, but I can't help with this request.", "refusal"), ("As a language model I have no way to watch videos. Please try another question.", "refusal"),
+        ("A sign reads 'we are unable to accept cards', and the cook folds a paper kite.", None), ("The girl says she is sorry, but she cannot come along.", None),
+        ("What does the cook do near the fountain in this clip?", "copy"), ("Question: what does the cook do near the fountain in this clip", "copy"),
+        ("What does the cook do near the fountain in this clip? The cook folds a paper kite.", None),
+        ("Le cuisinier ouvre la porte verte dans la cuisine.", "language"), (chr(0x53A8) + chr(0x5E08) + chr(0x6253) + chr(0x5F00) + chr(0x95E8) + chr(0x3002), "language"),
+    ],
+)
+def test_defects(tagger, answer, defect):
+    assert tagger.defect("<image>What does the cook do near the fountain in this clip?", "", answer) == defect
+
+
+def test_asked_for_language(tagger):
+    assert tagger.defect("What does the cook do near the fountain? Please answer in French.", "", "Le cuisinier ouvre la porte verte dans la cuisine.") is None
+
+
+def test_pairs_of_both_tables(spark):
+    turns = "array<struct<`from`:string,value:string>>"
+    qa = spark.createDataFrame(
+        [(1, [{"q": "What is it?", "a": ""}, {"q": "And now?"}], "x"), (1, [{"q": "What is it?", "a": ""}, {"q": "And now?"}], "x"), (2, None, "x"), (3, [], "x")],
+        "qa_id bigint, value array<map<string,string>>, defect string",
+    )
+    talk = [("system", "be kind"), ("user", "Who is there?"), ("human", "Hello?"), ("Assistant", "The cook.")]
+    packed = spark.createDataFrame([(5, (None, [{"from": a, "value": b} for a, b in talk])), (6, None), (7, (None, None))], f"sample_id bigint, info struct<images:array<string>,conversations:{turns}>")
+    pairs = pair_defects.question_pairs(qa, packed)
+    assert {(r.tab, r.rec_id, r.pair_no, r.a) for r in pairs.collect()} == {("manifest_qa", 1, 0, ""), ("manifest_qa", 1, 1, None), ("packed", 5, 0, None), ("packed", 5, 1, "The cook.")}
+    got = sorted((r.tab, r.rec_id, r.pair_no, r.defect) for r in pair_defects.find_defects(pairs).collect())
+    assert got == [("manifest_qa", 1, 0, "empty"), ("manifest_qa", 1, 1, "empty"), ("packed", 5, 0, "empty")]
+    assert pair_defects.find_defects(pairs.limit(0)).count() == 0
+
+
+def test_field_gradient_raises_likelihood():
+    rng = np.random.default_rng(3)
+    xs = [rng.integers(0, 2, (n, len(pair_defects.FEATURES))).astype(float) for n in rng.integers(1, 5, 120)]
+    ys = [[int(x[3]) for x in seq] for seq in xs]
+    crf = pair_defects.Field()
+    crf.fit(xs, ys, steps=60)
+    assert sum(crf.tag(x) == y for x, y in zip(xs, ys, strict=True)) > 110
+
+
+# ---- 6: budget --------------------------------------------------------------------------------------------------
+
+
+def test_counts_equal_the_tokenizer_and_the_cube_adds_up(spark):
+    texts = ["A cat.", "", None, chr(0x4F60) + chr(0x597D), "x" * 5000]
+    df = spark.createDataFrame([(i, t, "S" if i % 2 else " s ", ["en", "EN_us", None, "zh-CN", " "][i], None) for i, t in enumerate(texts)], "rec_id bigint, value string, dataset string, lang string, domain string")
+    model = budget.worker_model(budget.default_model())
+    counts = budget.text_counts(df)
+    assert {r.rec_id: r.n_tokens for r in counts.collect()} == {i: len(model.encode(t or "")) for i, t in enumerate(texts)}
+    assert {r.lang for r in counts.collect()} == {"en", "zh", "und"}
+    cube = {(r.source, r.lang, r.domain): (r.n_records, r.n_tokens) for r in budget.token_cube(counts).collect()}
+    assert cube["ALL", "ALL", "ALL"] == (5, sum(r.n_tokens for r in counts.collect())) == cube["s", "ALL", "unknown"]
+    assert budget.token_cube(counts.limit(0)).filter("source <> 'ALL'").count() == 0
+
+
+def test_encoded_counts_take_a_repeated_sample_once(spark):
+    df = spark.createDataFrame([(1, [1, 2], "a", "en", "d"), (1, [1, 2], "a", "en", "d"), (2, None, None, None, None), (3, [], "b", "x1", "d")], "sample_id bigint, input_ids array<int>, source string, lang string, domain string")
+    assert sorted((r.rec_id, r.n_tokens, r.lang) for r in budget.encoded_counts(df).collect()) == [(1, 2, "en"), (2, 0, "und"), (3, 0, "und")]
+
+
+# ---- 7: byte pairs ----------------------------------------------------------------------------------------------
+
+
+@pytest.fixture(scope="module")
+def reference():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    t.encode_special_tokens = True
+    return lambda s: t.encode(s, add_special_tokens=False).ids
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.text(alphabet=st.characters(exclude_categories=["Cs"]), max_size=60) | st.text(alphabet=" \n\tabcXYZ019'.,!<|>" + chr(0xE9) + chr(0x4E2D) + chr(0x0436) + ZWJ, max_size=80))
+def test_ids_equal_the_tokenizer(reference, text):
+    assert bpe.worker_encoder(bpe.default_vocabulary(), bpe.default_pattern())(text) == reference(text)
+
+
+def test_corpus_ids(spark, reference):
+    texts = ["Hello  world", None, "", "<|endoftext|> don't", "   ", "a" * 20000, chr(0x1F469) + ZWJ + chr(0x1F373)]
+    df = spark.createDataFrame([(i, t, "clash") for i, t in enumerate(texts)], "doc_id bigint, text string, ids string")
+    got = {r.doc_id: r.ids for r in bpe.encode_corpus(df).collect()}
+    assert got == {i: reference(t or "") for i, t in enumerate(texts)}
+    assert bpe.encode_corpus(df.limit(0)).count() == 0
+
+
+def test_fragments_are_cut_where_no_token_reaches():
+    e = bpe.worker_encoder(bpe.default_vocabulary(), bpe.default_pattern())
+    word = (chr(0x4E2D) * 3 + "abc").encode()
+    parts = e.fragments(word)
+    assert b"".join(parts) == word and len(parts) > 1
+
+
+# ---- 8: leaks ---------------------------------------------------------------------------------------------------
+
+WORDS = "captain tavrin hides the silver kettle under folded sails while old mesker drags a violet parasol past gate nine and sews one cover for the copper lantern at bell seven".split()
+
+
+def _leak_docs():
+    w = list(WORDS)
+    changed = w.copy()
+    changed[6], changed[14] = "blue", "green"
+    close = w[:15].copy()
+    close[3], close[9] = "x", "y"
+    text = " ".join(w)
+    disguised = text.replace("a", chr(0x430)).replace("o", chr(0x3BF)).upper().replace(" ", NBSP)
+    docs = {
+        1: f"Before. {text} After.", 2: "noise " + " ".join(w[5:17]) + " noise", 3: " ".join(w[5:16]) + " no more", 4: " ".join(changed), 5: " ".join(close), 6: disguised,
+        7: text.replace("kettle", f"ket{SHY}tle").replace("sails", f"sa{ZWJ}ils"), 8: None, 9: "", 10: "watch the clip then answer briefly all of you", 11: "unrelated words " * 50, 12: ", ".join(w).title(),
+    }
+    return docs
+
+
+def test_leaks(spark):
+    items = [(1, " ".join(WORDS)), (2, "Watch the clip, then answer briefly. Zed runs."), (3, "Watch the clip, then answer briefly. Yod sits."), (4, "Watch the clip, then answer briefly. Xan hums."), (5, None), (6, "")]
+    docs = spark.createDataFrame([(k, v, "clash") for k, v in _leak_docs().items()], "doc_id bigint, text string, item_id string")
+    asked = spark.createDataFrame([(*i, "b") for i in items], "item_id bigint, text string, bench string")
+    got = {(r.doc_id, r.item_id): r for r in leaks.find_leaks(docs, asked).collect()}
+    assert {k for k in got if k[1] == 1} == {(d, 1) for d in (1, 2, 4, 6, 7, 12)}
+    assert {k for k in got if k[1] != 1} == set()
+    assert got[1, 1].whole and not got[2, 1].whole and got[2, 1].n_units == 12
+    blocks = {(r.doc_id, r.item_id) for r in leaks.find_leaks(docs, asked, item_block=2).collect()}
+    assert blocks == set(got)
+    assert leaks.find_leaks(docs.limit(0), asked).count() == 0 and leaks.find_leaks(docs, asked.limit(0)).count() == 0
+
+
+def test_ideographic_leaks(spark):
+    signs = "".join(chr(0x4E00 + 37 * i) for i in range(60))
+    docs = spark.createDataFrame([(1, "ab " + signs[10:34] + " cd"), (2, signs[10:33]), (3, signs[:20] + chr(0x9F00) + signs[21:40])], "doc_id bigint, text string")
+    items = spark.createDataFrame([(7, signs)], "item_id bigint, text string")
+    assert {r.doc_id for r in leaks.find_leaks(docs, items).collect()} == {1, 3}
+
+
+@settings(max_examples=40, deadline=None)
+@given(st.data())
+def test_every_allowed_change_is_found(data):
+    """Any 12 running words with changed ones at least eight apart are found, wherever the changes stand."""
+    start = data.draw(st.integers(0, len(WORDS) - 14))
+    first = data.draw(st.integers(1, 8))
+    n = data.draw(st.integers(12, len(WORDS) - start))
+    words = WORDS[start : start + n]
+    for k in range(first, n - 1, leaks.APART):
+        words[k] = f"changed{k}"
+    block = leaks.Items([(1, " ".join(WORDS))], {})
+    assert len(list(block.search([["before", *words, "after"]]))) == 1
+
+
+def test_blocks_find_all_within_the_radius():
+    rng = np.random.default_rng(1)
+    index = leaks.Index.__new__(leaks.Index)
+    index.prints = rng.integers(0, 2**63, 400, dtype=np.uint64)
+    index.blocks = []
+    for b in range(leaks.BLOCKS):
+        key = index._key(index.prints, b)
+        order = np.argsort(key, kind="stable")
+        index.blocks.append((order, np.searchsorted(key[order], np.arange(65537))))
+    query = index.prints[rng.integers(0, 400, 300)].copy()
+    for _ in range(4):
+        query ^= np.uint64(1) << rng.integers(0, 64, 300).astype(np.uint64)
+    brute = {(i, j) for i, q in enumerate(query) for j, p in enumerate(index.prints) if int(q ^ p).bit_count() <= leaks.RADIUS}
+    assert set(map(tuple, index.near(query).T.tolist())) == brute
+
+
+# ---- 9: look-alikes ---------------------------------------------------------------------------------------------
+
+
+def test_rewriting_is_stable_and_keeps_visible_differences():
+    to = lookalikes.Rewriter(lookalikes.representatives())
+    same = [
+        ("oak tree", chr(0x3BF) + "ak" + NBSP + "tr" + ZWJ + "ee"), ("caf" + chr(0xE9), "cafe" + chr(0x301)), ("AB c", chr(0xFF21) + chr(0xFF22) + chr(0x3000) + chr(0xFF43)),
+        ("well-known", "well" + chr(0x2010) + "known"), (chr(0x9762), chr(0x2FAF)), (chr(0x451), chr(0xEB)), ("a b", "a" + chr(0x2007) + "b"), ("office", "o" + chr(0xFB03) + "ce"),
+    ]
+    for a, b in same:
+        assert to(a) == to(b), (a, b)
+        assert to(to(b)) == to(b)
+    for a, b in [("cafe", "caf" + chr(0xE9)), ("Oak", "oak"), ("o1", "ol"), ("a.", "a"), ("a b", "ab"), ("a\nb", "a b"), (chr(0x1F469) + ZWJ + chr(0x1F373), chr(0x1F469) + chr(0x1F373))]:
+        assert to(a) != to(b), (a, b)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.text(alphabet="aeco " + "".join(map(chr, (0x430, 0x435, 0x3BF, 0x301, 0x308, 0xE9, 0x451, 0x200D, 0xA0, 0xFF21, 0x2FAF, 13, 10))), max_size=12))
+def test_forms_are_stable(text):
+    to = lookalikes.Rewriter(lookalikes.representatives({"e" + chr(0x301): 5, chr(0x435): 9}))
+    assert to(to(text)) == to(text)
+    assert unicodedata.normalize("NFC", to(text)) == to(text)
+
+
+def test_pairs_by_brute_force(spark):
+    a, b = "One oak", "One" + NBSP + chr(0x3BF) + "ak"
+    texts = [a, b, a, "One Oak", None, "", " ", chr(0x200B), "One o" + SHY + "ak", "x" * 3000, "x" * 2999 + chr(0x445), "tie", "tie"]
+    df = spark.createDataFrame([(i, t, "clash", 1) for i, t in enumerate(texts)], "doc_id bigint, text string, form string, look int")
+    to = lookalikes.Rewriter(lookalikes.representatives())
+    brute = {(i, j) for (i, x), (j, y) in itertools.combinations(enumerate(texts), 2) if x and y and x != y and to(x) == to(y) and to(x).strip()}
+    got = {(r.doc_a, r.doc_b) for r in lookalikes.look_alike_pairs(df).collect()}
+    assert got == brute == {(0, 1), (1, 2), (0, 8), (1, 8), (2, 8), (9, 10)}
+    assert lookalikes.look_alike_pairs(df.limit(0)).count() == 0
+    forms = lookalikes.consistent_text(df)
+    assert forms.filter("form is null").count() == 1 and json.dumps(forms.filter("doc_id = 1").first().form) == json.dumps(forms.filter("doc_id = 0").first().form)
+
+
+def test_arrow_list_of_nothing():
+    assert curve_packing._lists([], pa.int32()).to_pylist() == []
