@@ -48,3 +48,10 @@ def duplicate_keys(df: DataFrame, *key: str) -> DataFrame:
 
 def payload_totals(df: DataFrame, data: str = "data") -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.length(data)), F.lit(0)).alias("n_bytes"))
+
+
+def review_sample(df: DataFrame, key: Column, share: float = 0.01, seed: int = 0) -> DataFrame:
+    """Samples for review by a reader, chosen by hash of their key; write them with ``df.write.text`` or JSON."""
+    from .sampling import rsample
+
+    return rsample(df, share, key, seed)

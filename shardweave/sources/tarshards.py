@@ -1,8 +1,8 @@
 """Data source ``tarshards``: tar shards as rows (url, seq, fname, data), one partition per shard; also a sink and a stream.
 
 Reading options: ``payload=false`` leaves data null (names only), ``match`` is a regular expression over member
-names, ``rename`` a ``pattern=replacement`` applied before it, ``on_error`` is fail, skip (rest of a broken shard) or
-stop.  Writing: rows (shard, key, fields) or members (shard, fname, data), sorted by shard within each task.
+names, ``rename`` a ``pattern=replacement`` applied before it, ``on_error`` is fail or skip (the rest of a broken
+shard), ``pushdown=true`` opens only the shards that a condition on url leaves.  Writing: rows (shard, key, fields) or members (shard, fname, data), sorted by shard within each task.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, DataSourceWriter, InputPartition, WriterCommitMessage
+from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, DataSourceWriter, EqualTo, In, InputPartition, WriterCommitMessage
 from pyspark.sql.types import StructType
 
 from ..functions.urls import expand_urls
@@ -85,6 +85,28 @@ class TarReader(DataSourceReader):
         return _read(partition.url, self.options)
 
 
+class PushingTarReader(TarReader):
+    """Opens only the shards that a condition on ``url`` leaves; the condition itself is checked again by Spark."""
+
+    def __init__(self, options: dict[str, str]):
+        super().__init__(options)
+        self.urls: set[str] | None = None
+
+    def pushFilters(self, filters: list) -> Iterator:  # noqa: N802 - Spark's name
+        for f in filters:
+            if getattr(f, "attribute", None) == ("url",):
+                wanted = {f.value} if isinstance(f, EqualTo) else set(f.value) if isinstance(f, In) else None
+                if wanted is not None:
+                    self.urls = wanted if self.urls is None else self.urls & wanted
+            yield f
+
+    def partitions(self) -> list[Shard]:
+        return [s for s in super().partitions() if self.urls is None or s.url in self.urls] or [Shard("")]
+
+    def read(self, partition: Shard) -> Iterator[tuple]:
+        return _read(partition.url, self.options) if partition.url else iter(())
+
+
 class TarStreamReader(DataSourceStreamReader):
     """New shards of a folder as they appear; the offset is the last name of a sorted listing."""
 
@@ -172,7 +194,7 @@ class TarShards(DataSource):
         return SCHEMA
 
     def reader(self, schema: StructType) -> TarReader:
-        return TarReader(self.options)
+        return PushingTarReader(self.options) if self.options.get("pushdown", "false") == "true" else TarReader(self.options)
 
     def streamReader(self, schema: StructType) -> TarStreamReader:  # noqa: N802
         return TarStreamReader(self.options)
@@ -187,6 +209,8 @@ def register(spark: SparkSession) -> None:
 
 def read_shards(spark: SparkSession, path: str, **options: object) -> DataFrame:
     register(spark)
+    if options.get("pushdown"):  # Spark refuses a reader that takes filters unless this is on
+        spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     return spark.read.format("tarshards").options(**{k: str(v).lower() if isinstance(v, bool) else str(v) for k, v in options.items()}).load(path)
 
 

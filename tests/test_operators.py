@@ -4,6 +4,7 @@ import io
 import itertools
 import os
 import tarfile
+import time
 
 import pytest
 from hypothesis import given, settings
@@ -15,7 +16,7 @@ from shardweave.operators import compaction, errors, fields, order, packing, qua
 from shardweave.plans import jobs
 from shardweave.plans.samples import Samples, pipeline
 from shardweave.runtime import broadcast_checked, conf, scratch_path, shared_dir
-from shardweave.sources import manifests, openers
+from shardweave.sources import manifests, openers, shardlists
 from shardweave.sources.cborseq import read_cbor
 from shardweave.sources.tarshards import list_shards, read_shards, write_shards
 
@@ -221,6 +222,31 @@ def test_tar_source(spark, tmp_path):
     assert list_shards(f"{tmp_path}/{{a,b}}.x::{tmp_path}/*.tgz") == [f"{tmp_path}/a.x", f"{tmp_path}/b.x", f"{tmp_path}/b.tgz"]
 
 
+def test_pushdown_opens_only_what_is_asked_for(spark, tmp_path):
+    tar(tmp_path / "a.tar", ["x.txt"])
+    (tmp_path / "broken.tar").write_bytes(b"not a tar")
+    df = read_shards(spark, str(tmp_path), pushdown=True)
+    assert [r.fname for r in df.filter(F.col("url") == f"{tmp_path}/a.tar").collect()] == ["x.txt"]
+    assert df.filter("url = 'nowhere'").count() == 0
+
+
+def test_shard_lists(spark, tmp_path):
+    urls = "t-{00..19}.tar"
+    assert [r.url for r in shardlists.simple_shards(spark, urls).orderBy("__pos__").collect()] == [f"t-{i:02d}.tar" for i in range(20)]
+    mixed = [r.url for r in shardlists.simple_shards(spark, urls, 3).orderBy("__pos__").collect()]
+    assert sorted(mixed) == [f"t-{i:02d}.tar" for i in range(20)] != mixed
+    (tmp_path / "s.yaml").write_text("datasets:\n- shards: t-{00..19}.tar\n  choose: 4\n")
+    assert shardlists.shard_spec(spark, f"{tmp_path}/s.yaml").count() == 4
+    assert shardlists.make_seed(1, "a") == shardlists.make_seed(1, "a") != shardlists.make_seed(2, "a")
+    q = shardlists.resampled_stream(spark, urls, 50).writeStream.format("memory").queryName("draws").start()
+    for _ in range(100):
+        if spark.table("draws").count() > 20:
+            break
+        time.sleep(0.2)
+    q.stop()
+    assert {r.url for r in spark.table("draws").collect()} <= set(mixed)
+
+
 def test_tar_sink_round_trip(spark, tmp_path):
     rows = [(f"s-{i % 3}.tar{'.gz' if i % 3 == 2 else ''}", f"{i:04d}", {"txt": f"t{i}".encode(), "cls": b"1", "_hidden": b"x"}) for i in range(30)]
     df = spark.createDataFrame(rows, "shard string, key string, fields map<string,binary>").coalesce(1)
