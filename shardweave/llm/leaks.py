@@ -17,6 +17,7 @@ from __future__ import annotations
 import hashlib
 import re
 import unicodedata as ud
+import uuid
 from collections import Counter, defaultdict
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
@@ -24,6 +25,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -295,12 +297,25 @@ def find_leaks(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text:
     return out
 
 
+_blocks: dict[int, Items] = {}
+
+
+def _worker_block(number: int, sent: Broadcast) -> Items:
+    """The index of a block of items, built once per worker process."""
+    if number not in _blocks:
+        _blocks.clear()
+        _blocks[number] = Items(*sent.value)
+    return _blocks[number]
+
+
 def _scan(named: DataFrame, rows: list[tuple[int, str | None]], schema: str) -> DataFrame:
-    intros = introductions(rows)
+    """One block of items against all documents; a worker builds the block's index once."""
+    sent = named.sparkSession.sparkContext.broadcast((rows, introductions(rows)))
     names = [c.split()[0] for c in schema.split(", ")]
+    number = uuid.uuid4().int
 
     def scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block = Items(rows, intros)
+        block = _worker_block(number, sent)
         for b in batches:
             for at in range(0, b.num_rows, SLICE):
                 part = b.slice(at, SLICE)

@@ -10,7 +10,7 @@ from .budget import encoded_counts, text_counts, token_cube
 from .copies import collapse_copies, copy_classes
 from .curve_packing import fill_report, pack_sequences
 from .leaks import find_leaks
-from .lookalikes import consistent_text, look_alike_pairs
+from .lookalikes import consistent_text, look_alike_pairs, representatives
 from .mixture import draw_mix, shard_items
 from .pair_defects import find_defects, question_pairs
 
@@ -97,7 +97,65 @@ QUERIES = {
     "p9_found": p9_found,
     "p9_forms": p9_forms,
 }
+_STRIP = r"[^\p{L}\p{N}\p{M}]+"
+
+
+def _folded(c: str) -> str:
+    return f"regexp_replace(upper(replace({c}, 'ß', 'SS')), '{_STRIP}', '', 'g')"
+
+
+_NAME = r"^\s*([A-Za-z_]\w*)\s*[:=]"
+_FIELD = _folded("json_extract_string(value, '$.\"' || k || '\"')")
+_NAMED = _folded(f"regexp_extract(x, '{_NAME}', 1)") + " || ' = ' || " + _folded(f"regexp_replace(x, '{_NAME}', '')")
+_RECORDS = rf"""
+WITH b AS (
+  SELECT rec_id, {_folded("video_path")} AS path, value, CASE WHEN json_valid(value) THEN json_type(value) END AS kind
+  FROM manifest WHERE regexp_matches(value, '[^\s\p{{Z}}\p{{C}}]')),
+t AS (SELECT rec_id, path, kind, value, CASE WHEN kind = 'VARCHAR' THEN json_extract_string(value, '$') ELSE value END AS text FROM b),
+p AS (SELECT *, [x FOR x IN regexp_split_to_array(text, '[;|\n\r]+') IF trim(x, ' ' || chr(9)) <> ''] AS parts FROM t),
+r AS (
+  SELECT rec_id, path,
+    CASE WHEN kind = 'OBJECT' THEN CAST(list_sort([{_folded("k")} || ' = ' || {_FIELD} FOR k IN json_keys(value)]) AS VARCHAR)
+         WHEN len(parts) > 1 AND len([x FOR x IN parts IF regexp_matches(x, '{_NAME}')]) = len(parts) THEN CAST(list_sort([{_NAMED} FOR x IN parts]) AS VARCHAR)
+         ELSE {_folded("text")} END AS record
+  FROM p),
+c AS (SELECT rec_id, min(rec_id) OVER w AS first_id, count(*) OVER w AS n FROM r WINDOW w AS (PARTITION BY path, record))
+"""
+
+
+def _look_alike_sql() -> str:
+    """Texts rewritten by single characters after canonical composition: enough to tell the classes of pairs apart."""
+    table = {k: v for k, v in representatives().items() if len(k) == 1 and len(v) <= 1}
+    gone = "".join(sorted(k for k, v in table.items() if not v))
+    swap = [(k, v) for k, v in sorted(table.items()) if v]
+    quoted = lambda x: x.replace("'", "''")
+    form = f"nfc_normalize(translate(nfc_normalize(translate(text, '{gone}', '')), '{quoted(''.join(k for k, _ in swap))}', '{quoted(''.join(v for _, v in swap))}'))"
+    return f"""
+WITH f AS (SELECT doc_id, text, {form} AS form FROM documents WHERE text IS NOT NULL)
+SELECT a.doc_id AS doc_a, b.doc_id AS doc_b FROM f a JOIN f b ON a.form = b.form AND a.doc_id < b.doc_id AND a.text <> b.text
+WHERE regexp_matches(a.form, '[^\\s\\p{{Z}}\\p{{C}}\\p{{M}}]')
+"""
+
+
 ORACLES = {
+    "p2_shares": """
+WITH i AS (
+  SELECT regexp_replace(regexp_replace(trim(url), '^s3[an]://', 's3://'), '([^:])/{2,}', '\\1/', 'g') AS u, nsamples, indexed_at FROM shard_index WHERE nsamples IS NOT NULL AND url IS NOT NULL),
+n AS (SELECT regexp_extract(u, '^(.*?/?)pack/', 1) AS root, lower(regexp_extract(u, 'pack/([^/]+)/', 1)) AS source, regexp_extract(u, 'pack/[^/]+/(.*)$', 1) AS rest, nsamples, indexed_at FROM i),
+s AS (SELECT source, arg_max(nsamples, (indexed_at, nsamples)) AS size FROM n GROUP BY root, source, rest),
+a AS (SELECT m.source, m.target_share, m.max_repeats, CAST(coalesce((SELECT sum(size) FROM s WHERE s.source = m.source), 0) AS BIGINT) AS avail FROM mix_targets m),
+w AS (SELECT *, target_share / (SELECT sum(target_share) FROM a WHERE avail > 0) AS share FROM a),
+t AS (SELECT min(CAST(ceil((max_repeats * avail + 1 - 1e-9) / share) - 1 AS BIGINT)) AS total FROM w WHERE avail > 0),
+d AS (SELECT source, target_share, max_repeats, avail, CASE WHEN avail > 0 THEN CAST(floor(total * share + 1e-9) AS BIGINT) ELSE 0 END AS drawn FROM w, t)
+SELECT source, target_share, max_repeats, avail AS n_available, CAST(drawn AS BIGINT) AS n_drawn,
+       CASE WHEN avail > 0 THEN round(drawn / avail, 6) ELSE 0.0 END AS repeats, round(drawn / (SELECT sum(drawn) FROM d), 6) AS actual_share
+FROM d
+""",
+    "p3_found": _RECORDS + "SELECT first_id, rec_id FROM c WHERE rec_id <> first_id",
+    "p3_collapsed": _RECORDS
+    + """SELECT rec_id, CAST(n AS BIGINT) AS n_copies FROM c WHERE rec_id = first_id
+UNION ALL SELECT rec_id, CAST(1 AS BIGINT) FROM manifest WHERE rec_id NOT IN (SELECT rec_id FROM c)""",
+    "p9_found": _look_alike_sql(),
     "p6_encoded_totals": """
 WITH r AS (
   SELECT sample_id,
