@@ -27,6 +27,6 @@ def apply_policy(df: DataFrame, policy: str = "fail", name: str = "_error", pos:
     if policy.startswith("warn"):
         print(f"{df.filter(bad).count()} bad rows: {policy}")  # noqa: T201 - this is what the policy is for
     if policy.endswith("stop"):
-        first = df.agg(F.min(F.when(bad, F.col(pos))).alias("__first__"))
-        return df.crossJoin(F.broadcast(first)).filter(F.col("__first__").isNull() | (F.col(pos) < F.col("__first__"))).drop("__first__", name)
+        first = df.agg(F.min(F.when(bad, F.col(pos))).alias("p")).first().p
+        return (df if first is None else df.filter(F.col(pos) < first)).drop(name)
     return df.filter(~bad).drop(name)

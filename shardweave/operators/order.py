@@ -142,18 +142,30 @@ def with_epoch(df: DataFrame, n: int, pos: str = POS) -> DataFrame:
     return repeat(df, -(-n // total) if total else 0, n, total, pos)
 
 
-def repeat_samples(df: DataFrame, size: str, n: int, epochs: int, by_total: int | None = None, pos: str = POS) -> DataFrame:
-    """Repeat batches until their sizes sum to ``n``: a batch is kept while the sum before it is below ``n``.
+#: Blocks of a two-level running sum: one task sums the blocks, each block is summed on its own.
+BLOCKS = 4096
 
-    The running sum is two-level: sums per block of positions, then inside the block.
-    """
-    out = repeat(df, epochs, None, by_total, pos)
-    block = F.floor(F.col(pos) / 4096)
-    sums = out.groupBy(block.alias("b")).agg(F.sum(size).alias("s"))
-    bases = sums.select("b", (F.sum("s").over(W.orderBy("b").rowsBetween(W.unboundedPreceding, -1))).alias("base"))
-    inside = F.sum(size).over(W.partitionBy("b").orderBy(pos)) - F.col(size)
-    seen = out.withColumn("b", block).withColumn("before", inside).join(bases, "b")
-    return seen.filter(F.coalesce(F.col("base"), F.lit(0)) + F.col("before") < n).drop("b", "base", "before")
+
+def running_sum(df: DataFrame, size: str, total: int, name: str = "before", pos: str = POS) -> DataFrame:
+    """``name``: sum of ``size`` over all rows before, by ``pos``, of ``total`` rows.  No task holds more than a block."""
+    width = max(1, -(-total // BLOCKS))
+    rows = df.withColumn("__b__", F.floor(F.col(pos) / width))
+    sums = rows.groupBy("__b__").agg(F.sum(size).alias("s"))
+    bases = sums.select("__b__", F.coalesce(F.sum("s").over(W.orderBy("__b__").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("__base__"))
+    inside = F.coalesce(F.sum(size).over(W.partitionBy("__b__").orderBy(pos).rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    return rows.withColumn("__in__", inside).join(F.broadcast(bases), "__b__").withColumn(name, F.col("__base__") + F.col("__in__")).drop("__b__", "__base__", "__in__")
+
+
+def repeat_samples(df: DataFrame, size: str, n: int, epochs: int, total: int | None = None, pos: str = POS) -> DataFrame:
+    """Repeat batches until their sizes sum to ``n``: a batch is kept while the sum before it is below ``n``."""
+    total = df.count() if total is None else total
+    return running_sum(repeat(df, epochs, None, total, pos), size, total * epochs, "__before__", pos).filter(F.col("__before__") < n).drop("__before__")
+
+
+def running_keep(df: DataFrame, size: str, limit: int, total: int | None = None, pos: str = POS) -> DataFrame:
+    """Rows whose size, summed with all before them in order of ``pos``, stays within ``limit`` (least-recently-used caches)."""
+    total = df.count() if total is None else total
+    return running_sum(df, size, total, "__before__", pos).filter(F.col("__before__") + F.col(size) <= limit).drop("__before__")
 
 
 def round_robin(parts: DataFrame, source: str, pos: str = POS, longest: bool = False) -> DataFrame:
@@ -161,23 +173,11 @@ def round_robin(parts: DataFrame, source: str, pos: str = POS, longest: bool = F
 
     Shortest: ends when the source whose turn it is has no row left.  Longest: exhausted sources drop out.
     """
-    sizes = parts.groupBy(source).agg(F.count(F.lit(1)).alias("n"))
-    turn = F.struct(F.col(pos).alias("round"), F.col(source).alias("source"))
-    out = parts.withColumn("turn", turn)
+    out = parts.withColumn("turn", F.struct(F.col(pos).alias("round"), F.col(source).alias("source")))
     if longest:
         return out
-    stop = sizes.agg(F.min(F.struct("n", F.col(source).alias("source"))).alias("stop"))
-    out = out.crossJoin(F.broadcast(stop))  # one row
-    before = (F.col("turn.round") < F.col("stop.n")) | ((F.col("turn.round") == F.col("stop.n")) & (F.col("turn.source") < F.col("stop.source")))
-    return out.filter(before).drop("stop")
-
-
-def running_keep(df: DataFrame, size: str, order: list[Column], limit: int, buckets: Column) -> DataFrame:
-    """Rows whose size, summed with all before them in ``order``, stays within ``limit`` (least-recently-used caches).
-
-    ``buckets`` must be non-decreasing along ``order``; the sum is taken per bucket first, then inside it.
-    """
-    sums = df.groupBy(buckets.alias("b")).agg(F.sum(size).alias("s"))
-    bases = sums.select("b", F.coalesce(F.sum("s").over(W.orderBy("b").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("base"))
-    inside = F.sum(size).over(W.partitionBy("b").orderBy(*order).rowsBetween(W.unboundedPreceding, W.currentRow))
-    return df.withColumn("b", buckets).withColumn("inside", inside).join(F.broadcast(bases), "b").filter(F.col("base") + F.col("inside") <= limit).drop("b", "base", "inside")
+    sizes = parts.groupBy(source).agg(F.count(F.lit(1)).alias("n"))
+    stop = sizes.agg(F.min(F.struct("n", F.col(source).alias("source"))).alias("stop")).first().stop
+    if stop is None:
+        return out
+    return out.filter((F.col(pos) < stop.n) | ((F.col(pos) == stop.n) & (F.col(source) < F.lit(stop.source))))

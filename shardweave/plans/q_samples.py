@@ -247,7 +247,7 @@ def path_last3(spark: SparkSession, sf: str) -> DataFrame:
 
 def lru_keep(spark: SparkSession, sf: str) -> DataFrame:
     d = read(spark, sf, "documents").select("doc_id", F.coalesce("n_chars", F.lit(0)).alias("n"))
-    return order.running_keep(d, "n", [F.col("doc_id").desc()], 100_000, -F.floor(F.col("doc_id") / 64)).select("doc_id")
+    return order.running_keep(order.pos_overall(d, F.col("doc_id").desc()), "n", 100_000).select("doc_id")
 
 
 def shardwriter_count(spark: SparkSession, sf: str) -> DataFrame:

@@ -77,8 +77,8 @@ def test_chunks_and_strides(spark):
 
 
 def test_least_recently_used(spark):
-    df = numbered(spark, 20).withColumn("size", F.lit(4096))
-    kept = order.running_keep(df, "size", [F.col("v").desc()], 10 * 4096, -F.floor(F.col("v") / 4))
+    df = order.pos_overall(numbered(spark, 20).drop("__pos__").withColumn("size", F.lit(4096)), F.col("v").desc())
+    kept = order.running_keep(df, "size", 10 * 4096)
     assert sorted(r.v for r in kept.collect()) == list(range(10, 20))
 
 
