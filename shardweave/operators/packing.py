@@ -33,38 +33,47 @@ def next_fit(lengths: Iterable[int], capacity: int = CAPACITY, keep_tail: bool =
 def pack_groups(df: DataFrame, group: str, order: str, length: str, capacity: int = CAPACITY, keep_tail: bool = False) -> DataFrame:
     """``df`` with ``bin`` for the rows that are packed: one task folds one group, rows streamed in Arrow batches.
 
-    The rows are shuffled and sorted by group and order once; a group may be of any length, since only the running
-    state is held.  Dropping the tail needs to know which bin is the last, so ``bin`` comes with ``last_bin``
-    through a second, aggregated pass over the bin numbers.
+    The rows are shuffled and sorted by group and order once.  A group may be of any length: a row leaves the fold
+    when its bin is closed, so no more than one open bin is held, and the last one is dropped where it stands.
+    Null lengths count as 0.
     """
     columns = [c for c in df.columns if c != "bin"]
     ready = df.select(*columns).repartition(group).sortWithinPartitions(group, order)
     schema = ready.withColumn("bin", F.lit(0).cast("int")).schema
-    g, n = columns.index(group), columns.index(length)
+    g, n, names = columns.index(group), columns.index(length), [*columns, "bin"]
 
     def fold(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now: object = object()
         bin_ = used = count = 0
+        held: list[pa.RecordBatch] = []  # rows of the open bin from batches before
+
+        def cut(b: pa.RecordBatch, rows: list[int], bins: list[int]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([*b.take(pa.array(rows, pa.int64())).columns, pa.array(bins, pa.int32())], names=names)
+
         for b in batches:
-            bins: list[int | None] = []
-            for key, size in zip(b.column(g).to_pylist(), b.column(n).to_pylist(), strict=True):
-                if key != now:
-                    now, bin_, used, count = key, 0, 0, 0
+            done, bins, fresh = [], [], []  # closed rows and their bins; rows of the open bin
+            for i, (key, size) in enumerate(zip(b.column(g).to_pylist(), b.column(n).to_pylist(), strict=True)):
                 size = size or 0
-                if used + size > capacity and count > 0:
-                    bin_, used, count = bin_ + 1, 0, 0
-                # the number is kept also for what is dropped: it tells where the group ends
-                bins.append(bin_ if size < capacity else -1 - bin_)
+                full = key == now and used + size > capacity and count > 0
+                if full or key != now:
+                    if full or keep_tail:
+                        yield from held
+                        done += fresh
+                        bins += [bin_] * len(fresh)
+                    held, fresh = [], []
+                    bin_, used, count = (bin_ + 1 if full else 0), 0, 0
+                    now = key
                 if size < capacity:
+                    fresh.append(i)
                     used, count = used + size, count + 1
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(bins, pa.int32())], names=[*columns, "bin"])
-
-    packed = ready.mapInArrow(fold, schema)
-    if keep_tail:
-        return packed.filter("bin >= 0")
-    last = packed.groupBy(F.col(group).alias("__g__")).agg(F.max(F.greatest(F.col("bin"), -1 - F.col("bin"))).alias("__last__"))
-    joined = packed.join(last, packed[group].eqNullSafe(last["__g__"]))
-    return joined.filter((F.col("bin") >= 0) & (F.col("bin") < F.col("__last__"))).drop("__g__", "__last__")
+            if done:
+                yield cut(b, done, bins)
+            if fresh:
+                held.append(cut(b, fresh, [bin_] * len(fresh)))
+        if keep_tail:
+            yield from held
+
+    return ready.mapInArrow(fold, schema)
 
 
 def fold_bins(lengths: Column, capacity: int = CAPACITY) -> Column:

@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..operators import packing
+from ..runtime import hadoop_fs
 from ..streaming import events as ev
 from ..streaming.packer import stream_bins
 from ..streaming.run import run_to_table
@@ -14,7 +15,10 @@ from .q_tokens import PACK_SQL, read
 
 
 def _stream(spark: SparkSession, sf: str, table: str, plan, mode: str = "append") -> DataFrame:
-    return run_to_table(spark, sf, read(spark, sf, table).schema, plan, mode, glob=f"{table}.parquet")
+    path = f"{sf}/{table}.parquet"
+    fs, where = hadoop_fs(spark, path)
+    folder = fs.getFileStatus(where).isDirectory()  # a table is a file or a folder of files
+    return run_to_table(spark, path if folder else sf, read(spark, sf, table).schema, plan, mode, glob=None if folder else f"{table}.parquet")
 
 
 def stream_tumbling(spark: SparkSession, sf: str) -> DataFrame:

@@ -155,6 +155,10 @@ class Samples:
         """Written to the shared folder: survives lost executors and cuts the lineage."""
         return Samples(materialize(self.df, "samples"), self.length)
 
+    def __iter__(self):
+        """Rows in order, fetched partition by partition (for a training loop on the driver)."""
+        return self.df.orderBy(order.POS).toLocalIterator(prefetchPartitions=True)
+
     def write(self, path: str, per_shard: int = 1000, **options: object) -> None:
         """Tar shards of ``per_shard`` samples, in order."""
         df = self.df.withColumn("shard", F.format_string("shard-%06d.tar", F.floor(F.col(order.POS) / per_shard).cast("bigint")))

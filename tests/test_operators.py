@@ -102,6 +102,9 @@ def test_pack_groups_equals_the_model(spark):
             mine = [r for r in rows if r[0] == g]
             want |= {(g, r[1]): b for r, b in zip(mine, packing.next_fit([r[2] for r in mine], 50, tail), strict=True) if b is not None}
         assert got == want
+    with conf(spark, spark__sql__execution__arrow__maxRecordsPerBatch=4):  # bins that reach over batches
+        many = {(r.g, r.i): r.bin for r in packing.pack_groups(df, "g", "i", "n", 50, True).collect()}
+    assert many == got
     one = spark.createDataFrame([([10, 45, 60, 5, 50],)], "n array<int>").select(packing.fold_bins(F.col("n"), 50).alias("b")).first().b
     assert [None if b < 0 else b for b in one] == packing.next_fit([10, 45, 60, 5, 50], 50, True)
     assert packing.pack_groups(df.limit(0), "g", "i", "n").count() == 0
@@ -349,6 +352,7 @@ def test_fluent(spark, tmp_path):
     s.write(f"{tmp_path}/out", 5)
     assert len(os.listdir(f"{tmp_path}/out")) == 3
     assert pipeline(numbered(spark), None, [lambda d: d.limit(3), None]).count() == 3
+    assert [r.key for r in s] == [f"{i:03d}" for i in range(12)]
     with pytest.raises(TypeError):
         len(s)
 
