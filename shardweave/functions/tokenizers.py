@@ -124,6 +124,10 @@ class PieceTokenizer:
     def is_special(self, i: int) -> bool:
         return i in self.special.values()
 
+    def special_text(self, i: int) -> str:
+        """The special token of an id, empty for any other id."""
+        return next((t for t, n in self.special.items() if n == i), "")
+
     def tokenize(self, text: str | None) -> list[int]:
         sp, ids = _pieces(self.model), []
         for part in split_special(text or "", list(self.special)):

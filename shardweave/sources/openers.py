@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import os
 import re
+import shlex
 import subprocess
 import tempfile
 import uuid
@@ -60,6 +61,18 @@ def register_scheme(scheme: str, opener: Opener) -> None:
     _openers[scheme] = opener
 
 
+def command_opener(read: str | None = None, write: str | None = None) -> Opener:
+    """An opener that runs a command, ``{url}`` in it standing for the quoted URL; register it for schemes of your store."""
+
+    def opener(url: str, mode: str) -> BinaryIO:
+        template = read if mode == "rb" else write
+        if template is None:
+            raise ValueError(f"{urlparse(url).scheme}: cannot be opened with {mode}")
+        return Pipe(template.format(url=shlex.quote(url)), mode)
+
+    return opener
+
+
 def _http(url: str, mode: str) -> BinaryIO:
     if mode != "rb":
         raise ValueError("http is read only")

@@ -95,6 +95,7 @@ def test_piece_tokenizer(spark):
     public = pytest.importorskip("public_tokenizers")
     t = tokenizers.PieceTokenizer(public.path("piece_bpe_32k.model"))
     assert (t.bos_token_id, t.eos_token_id, t.unk, t.token_id("<im_patch>"), t.vocab_size) == (1, 2, 0, 32000, 32003)
+    assert t.special_text(32001) == "<im_start>" and t.special_text(7) == "" and t.is_special(0) and not t.is_special(500)
     ids = t.tokenize("hello <im_start>world</s>")
     assert 32001 in ids and ids[-1] == 2
     assert t.detokenize(ids).split() == ["hello", "<im_start>", "world", "</s>"]

@@ -294,6 +294,11 @@ def test_openers(tmp_path):
     openers.register_scheme("mem", lambda u, m: open(path, "rb"))
     with pytest.raises(ValueError, match="archive"):
         openers.cached("mem://h/d/x.tar", str(tmp_path / "cache"))
+    openers.register_scheme("own", openers.command_opener(read=f"cat {path} # {{url}}"))
+    with openers.open_url("own://it's here") as p:
+        assert p.read() == b"data"
+    with pytest.raises(ValueError, match="own"):
+        openers.open_url("own://x", "wb")
     folder = tmp_path / "lru"
     folder.mkdir()
     for i in range(6):
