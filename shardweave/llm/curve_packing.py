@@ -22,6 +22,8 @@ MEDIA_IDS = 32000
 DIMENSIONS, BITS, HASHED = 3, 16, 64
 #: Sequences that a task holds open; the fullest is closed when one more is needed.
 OPEN = 128
+#: Tokens hashed at a time.
+PASS = 500_000
 #: Sequences per Arrow batch handed back to the JVM.
 BATCH = 64
 SCHEMA = "seq_id bigint, n_tokens int, sample_ids array<bigint>, starts array<int>, lengths array<int>, sample_from array<int>, input_ids array<int>, loss_mask array<int>"
@@ -61,25 +63,40 @@ def _projection() -> np.ndarray:
 
 
 def curve_positions(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Curve position of each list of a flattened list array; lists without content tokens share one cell."""
+    """Curve position of each list of a flattened list array; lists without content tokens share one cell.
+
+    The tokens are hashed PASS at a time, so working memory does not follow the batch or the longest list.
+    """
     n = len(offsets) - 1
-    owner = np.repeat(np.arange(n, dtype=np.int64), np.diff(offsets))
-    words = values[offsets[0] : offsets[-1]].astype(np.uint64)
-    content = words < MEDIA_IDS
-    mixed = words[content] * np.uint64(0x9E3779B97F4A7C15)
-    slot = owner[content] * HASHED + (mixed >> np.uint64(58)).astype(np.int64)
-    sign = np.where((mixed >> np.uint64(40)) & np.uint64(1), 1.0, -1.0)
-    vectors = np.bincount(slot, weights=sign, minlength=n * HASHED).reshape(n, HASHED)
+    vectors = np.zeros(n * HASHED)
+    for start in range(offsets[0], offsets[-1], PASS):
+        end = min(start + PASS, offsets[-1])
+        first = np.searchsorted(offsets, start, side="right") - 1
+        last = np.searchsorted(offsets, end, side="left")
+        sizes = np.diff(np.clip(offsets[first : last + 1], start, end))
+        words = values[start:end]
+        content = words < MEDIA_IDS
+        owner = np.repeat(np.arange(last - first, dtype=np.int64), sizes)[content]
+        mixed = words[content].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        slot = owner * HASHED + (mixed >> np.uint64(58)).astype(np.int64)
+        sign = np.where((mixed >> np.uint64(40)) & np.uint64(1), 1.0, -1.0)
+        vectors[first * HASHED : last * HASHED] += np.bincount(slot, weights=sign, minlength=(last - first) * HASHED)
+    vectors = vectors.reshape(n, HASHED)
     norm = np.linalg.norm(vectors, axis=1, keepdims=True)
     at = (vectors / np.where(norm == 0, 1, norm)) @ _projection()
     unit = 1 / (1 + np.exp(-1.702 * at))  # logistic stand-in for the normal distribution function: cells about equally full
     return hilbert_key(np.minimum((unit * (1 << BITS)).astype(np.int64), (1 << BITS) - 1), BITS)
 
 
+def _flat(lists: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Values (nulls as 0) and offsets of a list array, without a copy if there are no nulls."""
+    values = lists.values
+    return (values if values.null_count == 0 else values.fill_null(0)).to_numpy(zero_copy_only=False), lists.offsets.to_numpy()
+
+
 @F.arrow_udf(T.LongType())
 def _curve(ids: pa.Array) -> pa.Array:
-    flat = ids.values.fill_null(0).to_numpy(zero_copy_only=False)
-    return pa.array(curve_positions(flat, ids.offsets.to_numpy()))
+    return pa.array(curve_positions(*_flat(ids)))
 
 
 class Packer:
@@ -163,8 +180,7 @@ def _samples(b: pa.RecordBatch) -> Iterator[tuple[int, int, np.ndarray, np.ndarr
     """(curve, sample, ids, mask) of each row; a mask that is missing or short is filled up with 0, a long one cut."""
     curve, sample, ids, mask = b.columns
     curve, sample = curve.to_numpy(), sample.to_pylist()
-    flat, ends = ids.values.fill_null(0).to_numpy(zero_copy_only=False), ids.offsets.to_numpy()
-    mflat, mends = mask.values.fill_null(0).to_numpy(zero_copy_only=False), mask.offsets.to_numpy()
+    (flat, ends), (mflat, mends) = _flat(ids), _flat(mask)
     for i in range(b.num_rows):
         x = flat[ends[i] : ends[i + 1]].copy()  # a view would keep the whole batch alive in an open sequence
         m = mflat[mends[i] : mends[i + 1]][: len(x)]

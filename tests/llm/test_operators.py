@@ -26,6 +26,17 @@ def test_hilbert_is_a_walk_over_all_cells():
     assert np.abs(np.diff(cells[np.argsort(key)], axis=0)).sum(1).max() == 1
 
 
+def test_curve_positions_do_not_depend_on_the_pass(monkeypatch):
+    rng = np.random.default_rng(2)
+    sizes = [0, 5, 0, 90, 1, 300, 7, 0]
+    values, offsets = rng.integers(0, 33000, sum(sizes) + 4).astype(np.int32), np.cumsum([4, *sizes]).astype(np.int32)
+    whole = curve_packing.curve_positions(values, offsets)
+    alone = [curve_packing.curve_positions(values[a:b], np.array([0, b - a]))[0] for a, b in itertools.pairwise(offsets)]
+    for n in (1, 7, 64, 301):
+        monkeypatch.setattr(curve_packing, "PASS", n)
+        assert whole.tolist() == curve_packing.curve_positions(values, offsets).tolist() == alone
+
+
 def _tokenized(spark, rows):
     return spark.createDataFrame(rows, "sample_id bigint, input_ids array<int>, loss_mask array<int>, seq_id string, n_tokens string")
 
