@@ -7,6 +7,7 @@ tokens), and each partition packs neighbours best-fit into a bounded number of o
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -22,6 +23,8 @@ MEDIA_IDS = 32000
 DIMENSIONS, BITS, HASHED = 3, 16, 64
 #: Sequences that a task holds open; the fullest is closed when one more is needed.
 OPEN = 128
+#: Most bytes of one Arrow batch: token lists are long, and several batches per task are in memory at once.
+ARROW_BYTES = 8 << 20
 #: Tokens hashed at a time.
 PASS = 500_000
 #: Sequences per Arrow batch handed back to the JVM.
@@ -99,6 +102,12 @@ def _curve(ids: pa.Array) -> pa.Array:
     return pa.array(curve_positions(*_flat(ids)))
 
 
+def _bytes(text: str) -> int:
+    """A Spark size setting in bytes."""
+    m = re.fullmatch(r"\s*(\d+)\s*([bkmg]?)b?\s*", text.lower())
+    return int(m[1]) << {"": 0, "b": 0, "k": 10, "m": 20, "g": 30}[m[2]] if m else ARROW_BYTES + 1
+
+
 class Packer:
     """Best-fit packing in arrival order with a bounded number of open sequences.
 
@@ -195,8 +204,11 @@ def pack_sequences(df: DataFrame, id_col: str = "sample_id", ids: str = "input_i
     ids) count once, the one with the longest mask; one id over different ids is different samples.  Missing
     mask entries are 0: no loss where none was asked for.  Null ids inside a list are 0.  Rows with a null
     sample id are packed, all of them.  ``starts``/``lengths`` give each piece's place in the sequence,
-    ``sample_from`` its offset in the sample.
+    ``sample_from`` its offset in the sample.  Lowers the session's Arrow batch bound to ARROW_BYTES.
     """
+    spark, limit = df.sparkSession, "spark.sql.execution.arrow.maxBytesPerBatch"
+    if _bytes(spark.conf.get(limit, "64m")) > ARROW_BYTES:
+        spark.conf.set(limit, str(ARROW_BYTES))  # read when the plan runs, so it has to stay set
     named = df.select(F.col(id_col).cast("bigint").alias("sample_id"), F.col(ids).cast("array<int>").alias("ids"), F.coalesce(F.col(mask).cast("array<int>"), F.array().cast("array<int>")).alias("mask"))
     placed = named.filter(F.size("ids") > 0).withColumn("curve", _curve("ids"))
     order = [F.col("curve"), F.col("sample_id"), F.size("ids"), F.size("mask").desc()]
