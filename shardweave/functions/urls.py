@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 #: Schemes that name a remote object in a ``pipe:`` command.
 REMOTE = r"^(https?|gs|ais|s3):"
-#: Environment prefix of ``${NAME}`` in shard lists.
+# Fixed value: environment prefix of ``${NAME}`` in shard lists.
 ENV_PREFIX = "WDS_"
 _RANGE = re.compile(r"(-?\d+)\.\.(-?\d+)(?:\.\.(-?\d+))?|([A-Za-z])\.\.([A-Za-z])")
 
