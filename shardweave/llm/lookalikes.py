@@ -117,10 +117,11 @@ def representatives(frequency: dict[str, int] | None = None) -> dict[str, str]:
     return out
 
 
-class Rewriter:
-    """Greedy leftmost-longest rewriting of a text by a table of strings."""
+class Greedy:
+    """Leftmost-longest replacement of the strings of a table."""
 
     def __init__(self, table: dict[str, str]):
+        self.first = {k[0] for k in table}
         self.single = {ord(k): v for k, v in table.items() if len(k) == 1}
         #: Every longer pattern holds one of these; a text without them needs no more than single characters.
         self.signs = {next((c for c in k if ud.combining(c)), k[0]) for k in table if len(k) > 1}
@@ -130,7 +131,9 @@ class Rewriter:
         if table:
             self.long.make_automaton()
 
-    def _greedy(self, text: str) -> str:
+    def __call__(self, text: str) -> str:
+        if self.first.isdisjoint(text):
+            return text
         if self.signs.isdisjoint(text):
             return text.translate(self.single)
         out, done = [], 0
@@ -139,17 +142,32 @@ class Rewriter:
             done = end + 1
         return "".join(out) + text[done:] if out else text
 
+
+class Rewriter:
+    """Rewriting of a text by a table of look-alikes, in two steps.
+
+    The first step is the same for every corpus and alone decides which texts are equal: ASCII before other
+    members, so that marks meet the Latin letter they compose with.  The second puts the member that the table
+    prefers in its place, in ASCII texts as in all others.
+    """
+
+    def __init__(self, table: dict[str, str]):
+        fixed = representatives()
+        self.fixed = Greedy(fixed)
+        best = {s: table.get(s, s) for s in set(fixed.values()) if s}
+        self.spelling = Greedy({s: m for s, m in best.items() if m != s})
+
     def __call__(self, text: str) -> str:
         """The consistent form; rewriting it again changes nothing."""
-        if text.isascii() and "\r" not in text:
-            return text
-        text = _JOINED_EMOJI.sub(_KEEP, text)
-        for _ in range(4):
-            new = ud.normalize("NFC", self._greedy(ud.normalize("NFC", text)))
-            if new == text:
-                break
-            text = new
-        return text.replace(_KEEP, "\u200d")
+        if not text.isascii() or "\r" in text:
+            text = _JOINED_EMOJI.sub(_KEEP, text)
+            for _ in range(4):
+                new = ud.normalize("NFC", self.fixed(ud.normalize("NFC", text)))
+                if new == text:
+                    break
+                text = new
+            text = text.replace(_KEEP, "\u200d")
+        return ud.normalize("NFC", self.spelling(text))
 
 
 def form_frequencies(df: DataFrame, text: str) -> dict[str, int]:
@@ -159,6 +177,7 @@ def form_frequencies(df: DataFrame, text: str) -> dict[str, int]:
     """
     known = {s for m in look_alike_classes() for s in m if s}
     multi = {s for s in known if len(s) > 1}
+    unmarked = [s for s in multi if not _MARKED.fullmatch(s)]
 
     def count(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen: Counter[str] = Counter()
@@ -166,6 +185,7 @@ def form_frequencies(df: DataFrame, text: str) -> dict[str, int]:
             whole = "\n".join(b[text].dropna())
             seen.update({c: n for c, n in Counter(whole).items() if c in known})
             seen.update(s for s in _MARKED.findall(whole) if s in multi)
+            seen.update({s: n for s in unmarked if (n := whole.count(s))})
         yield pd.DataFrame({"form": list(seen), "n": list(seen.values())}, dtype=object).astype({"n": "int64"})
 
     rows = df.select(text).mapInPandas(count, "form string, n long").groupBy("form").agg(F.sum("n").alias("n")).collect()

@@ -398,5 +398,15 @@ def test_pairs_by_brute_force(spark):
     assert forms.filter("form is null").count() == 1 and json.dumps(forms.filter("doc_id = 1").first().form) == json.dumps(forms.filter("doc_id = 0").first().form)
 
 
+def test_ascii_texts_follow_a_member_of_another_script(spark):
+    big, fi = chr(0x423), chr(0xFB01)
+    texts = ["Yes", big + "es", (big + " ") * 40, chr(0xDD) + "a", big + chr(0x301) + "a", "fig", fi + "g", (fi + " ") * 9, "affix a" + chr(0x430), "af" + fi + "x aa"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    assert {(r.doc_a, r.doc_b) for r in lookalikes.look_alike_pairs(df).collect()} == {(0, 1), (3, 4), (5, 6), (8, 9)}
+    forms = {r.doc_id: r.form for r in lookalikes.consistent_text(df).collect()}
+    assert forms[0] == forms[1] == big + "es" and forms[5] == forms[6] == fi + "g"
+    assert lookalikes.form_frequencies(df.filter("doc_id in (5, 8)"), "text")["fi"] == 2
+
+
 def test_arrow_list_of_nothing():
     assert curve_packing._lists([], pa.int32()).to_pylist() == []
