@@ -20,12 +20,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..runtime import materialize
+
 #: Pairs that the models are fitted on, at most: those with the smallest hashes of their id.
 SAMPLE = 12_000
 #: A text is taken to break off if no more than this share of what the sample has seen ends here.
 END_RARE = 0.02
 #: Words of context for that, and how often a context must have been seen to be trusted.
 CONTEXT, TRUSTED = 6, 6
+#: Where the judgement of a share changes (Tagger.breaks_off).
+VERDICTS = (END_RARE, 3 * END_RARE, 0.5)
+#: How often a word must have been seen to tell languages apart; contexts that a worker holds before it passes them on.
+KNOWN, HELD = 3, 300_000
 #: Responses of at most so many words are short answers: never truncated unless a sign of it stands at the end.
 SHORT = 4
 #: Share of a response's own words that clauses of one kind must cover to make it the pair's defect.
@@ -170,7 +176,8 @@ class Languages:
     def keys(words: list[str]) -> list[str]:
         return [k for w in words for k in (w, f"~{w[-3:]}")]
 
-    def fit(self, texts: Iterable[str]) -> None:
+    def count(self, texts: Iterable[str]) -> dict[str, Counter]:
+        """Language -> how often its words and word ends stand in the texts that are clearly in it."""
         small, counts = {lang: set(w.split()) for lang, w in SMALL_WORDS.items()}, {lang: Counter() for lang in SMALL_WORDS}
         for t in texts:
             w = [x for x in _WORD.findall(t.casefold())]
@@ -179,10 +186,17 @@ class Languages:
             hits = sorted(((sum(x in s for x in w), lang) for lang, s in small.items()), reverse=True)
             if hits[0][0] > hits[1][0]:
                 counts[hits[0][1]].update(self.keys(w))
-        total = {lang: sum(c.values()) + 1 for lang, c in counts.items()}
-        for k in set().union(*counts.values()):
-            if sum(c[k] for c in counts.values()) >= 3:
-                self.words[k] = tuple(math.log((c[k] + 0.3) / (total[lang] + 100)) for lang, c in counts.items())
+        return counts
+
+    def learn(self, counts: Iterable[tuple[str, tuple[int, ...]]], total: tuple[int, ...]) -> None:
+        """From (word, its counts by language) and the counts of all words."""
+        for k, by in counts:
+            if sum(by) >= KNOWN:
+                self.words[k] = tuple(math.log((n + 0.3) / (whole + 1 + 100)) for n, whole in zip(by, total, strict=True))
+
+    def fit(self, texts: Iterable[str]) -> None:
+        counts = self.count(texts)
+        self.learn(((k, tuple(c[k] for c in counts.values())) for k in set().union(*counts.values())), tuple(sum(c.values()) for c in counts.values()))
 
     def scores(self, text: str) -> dict[str, float]:
         """Log score of each language; a language of another script is out of the question."""
@@ -211,7 +225,8 @@ class Endings:
     def tokens(clause: str) -> list[str]:
         return ["<s>", *_TOKEN.findall(clause.casefold())]
 
-    def fit(self, texts: Iterable[str]) -> None:
+    def count(self, texts: Iterable[str]) -> tuple[Counter, Counter]:
+        """(how often each context occurs, how often a clause ends after it)."""
         seen, ended = Counter(), Counter()
         for t in texts:
             cs = clauses(without_tail(t))
@@ -224,12 +239,18 @@ class Endings:
                         seen[tuple(k[i - n : i])] += 1
                         if i == len(k):
                             ended[tuple(k[i - n : i])] += 1
+        return seen, ended
+
+    def learn(self, seen: dict[tuple, int], ended: dict[tuple, int]) -> None:
         self.seen = {k: n for k, n in seen.items() if n >= TRUSTED}
-        self.ended = {k: ended[k] for k in self.seen if ended[k]}
+        self.ended = {k: ended[k] for k in self.seen if ended.get(k)}
         self.begun = {k[0][:i] for k in self.seen if len(k) == 1 for i in range(1, len(k[0]))}
 
+    def fit(self, texts: Iterable[str]) -> None:
+        self.learn(*self.count(texts))
+
     def share(self, clause: str) -> float:
-        """Share of the sample's texts with the longest trusted context that end there; 0 for an unknown last word."""
+        """Share of the clauses with the longest trusted context that end there; 0 for an unknown last word."""
         k = self.tokens(clause)
         for n in range(min(CONTEXT, len(k)), 0, -1):
             if s := self.seen.get(tuple(k[-n:])):
@@ -409,11 +430,17 @@ class Tagger:
                 out.append(4 if on(i, "breaks off") else 0)
         return out
 
-    def fit(self, pairs: list[tuple[str, str, str]]) -> Tagger:
-        """Fit on (question, instruction, answer) triples; an empty sample leaves a tagger that finds empty answers only."""
+    def fit(self, pairs: list[tuple[str, str, str]], counted: tuple[Languages, Endings] | None = None) -> Tagger:
+        """Fit on (question, instruction, answer) triples; an empty sample leaves a tagger that finds empty answers only.
+
+        ``counted``: the statistics of all pairs; without it they are those of the triples.
+        """
         told = [p for p in pairs if p[2] and not says_nothing(p[2])]
-        self.languages.fit([clean(q) for q, _, _ in told] + [clean(a) for _, _, a in told])
-        self.endings.fit(clean(a) for _, _, a in told)
+        if counted:
+            self.languages, self.endings = counted
+        else:
+            self.languages.fit([clean(q) for q, _, _ in told] + [clean(a) for _, _, a in told])
+            self.endings.fit(clean(a) for _, _, a in told)
         data = [self.features(*p)[1] for p in [*told, *self.spoiled(told)]]
         data = [x for x in data if len(x)]
         if data:
@@ -483,8 +510,60 @@ def question_pairs(qa: DataFrame, packed: DataFrame) -> DataFrame:
     return _qa_pairs(qa).unionByName(_packed_pairs(packed))
 
 
+def count_statistics(pairs: DataFrame) -> tuple[Languages, Endings]:
+    """Language words and text endings of all pairs, counted on the workers and summed before the driver sees them.
+
+    A context that judges like the context one word shorter is left out: the shorter one then answers for it with
+    the same verdict.  Single words all stay.
+    """
+    ns = [f"n{i}" for i in range(len(SMALL_WORDS))]
+
+    def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        languages, endings = Languages(), Endings()
+        words, seen, ended = {lang: Counter() for lang in SMALL_WORDS}, Counter(), Counter()
+
+        def out() -> pa.RecordBatch:
+            known = list(set().union(*words.values()))
+            columns = [[*((seen, ended)[i][k] if i < 2 else 0 for k in seen), *(c[k] for k in known)] for i, c in enumerate(words.values())]
+            kinds = ["end"] * len(seen) + ["word"] * len(known)
+            keys = [" ".join(k) for k in seen] + known
+            return pa.RecordBatch.from_arrays([pa.array(kinds, pa.string()), pa.array(keys, pa.string()), *(pa.array(c, pa.int64()) for c in columns)], names=["kind", "key", *ns])
+
+        for b in batches:
+            told = [(clean(q), clean(a)) for q, a in zip(*(c.to_pylist() for c in b.columns), strict=True) if a and not says_nothing(a)]
+            for lang, c in languages.count(x for p in told for x in p).items():
+                words[lang].update(c)
+            more = endings.count(a for _, a in told)
+            seen.update(more[0])
+            ended.update(more[1])
+            if len(seen) > HELD:
+                yield out()
+                for c in (*words.values(), seen, ended):
+                    c.clear()
+        yield out()
+
+    rows = pairs.select("q", "a").mapInArrow(count, ", ".join(["kind string", "key string", *(f"{n} bigint" for n in ns)]))
+    sums = rows.groupBy("kind", "key").agg(*(F.sum(n).alias(n) for n in ns))
+    kept = materialize(sums.filter((F.col("kind") == "word") | (F.col("n0") >= TRUSTED)), "statistics")
+
+    words = kept.filter("kind = 'word'")
+    total = tuple(n or 0 for n in words.agg(*(F.sum(n) for n in ns)).first())
+    languages, endings = Languages(), Endings()
+    languages.learn(((r["key"], tuple(r[n] for n in ns)) for r in words.filter(" + ".join(ns) + f" >= {KNOWN}").toLocalIterator()), total)
+
+    share = F.col("n1") / F.col("n0")
+    verdict = sum((F.when(share < x, 1).otherwise(0) for x in VERDICTS), F.lit(0))
+    ends = kept.filter("kind = 'end'").select("key", "n0", "n1", verdict.alias("verdict"))
+    shorter = ends.select(F.col("key").alias("rest"), F.col("verdict").alias("so"))
+    long = ends.filter("instr(key, ' ') > 0").withColumn("rest", F.expr("substring(key, instr(key, ' ') + 1)"))
+    telling = long.join(shorter, "rest").filter("verdict <> so").select("key", "n0", "n1")
+    contexts = ends.filter("instr(key, ' ') = 0").select("key", "n0", "n1").unionByName(telling).collect()
+    endings.learn({tuple(r["key"].split(" ")): r["n0"] for r in contexts}, {tuple(r["key"].split(" ")): r["n1"] for r in contexts})
+    return languages, endings
+
+
 def fit_tagger(pairs: DataFrame, sample: int = SAMPLE) -> Tagger:
-    """Fit on the at most ``sample`` pairs with the smallest hashes.
+    """Statistics of all pairs; the field is fitted on the at most ``sample`` pairs with the smallest hashes.
 
     Rows whose hash is clearly too large stay on the workers, so the driver sees about ``sample`` rows from any
     number of partitions.
@@ -493,7 +572,7 @@ def fit_tagger(pairs: DataFrame, sample: int = SAMPLE) -> Tagger:
     share = min(1.0, (1.2 * sample + 200) / max(1, pairs.count()))
     kept = pairs.select("q", "i", "a", order.alias("h")).filter(F.pmod("h", F.lit(1 << 30)) < int(share * (1 << 30)) + 1)
     rows = kept.orderBy(F.pmod("h", F.lit(1 << 30)), "h", "q", "a").limit(sample).collect()
-    return Tagger().fit([(r["q"] or "", r["i"] or "", r["a"] or "") for r in rows])
+    return Tagger().fit([(r["q"] or "", r["i"] or "", r["a"] or "") for r in rows], count_statistics(pairs))
 
 
 OUT = "tab string, rec_id bigint, pair_no bigint, defect string"
@@ -504,8 +583,8 @@ def find_defects(pairs: DataFrame, sample: int = SAMPLE) -> DataFrame:
 
     ``pairs``: (tab, rec_id, pair_no, q, i, a).  A pair without answering turn, with a null, blank or merely
     formal answer is 'empty'; others are 'refusal', 'copy', 'truncated' or 'language', the first that holds.
-    A null question can only have an empty answer, a refusal or a truncated one.  The fitted models (a few MB,
-    bounded by the sample) are broadcast.
+    A null question can only have an empty answer, a refusal or a truncated one.  The fitted models are broadcast;
+    they grow with the vocabulary of words and telling contexts seen at least KNOWN and TRUSTED times.
     """
     model = pairs.sparkSession.sparkContext.broadcast(fit_tagger(pairs, sample))
 

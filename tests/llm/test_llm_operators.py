@@ -228,6 +228,19 @@ def test_pairs_of_both_tables(spark):
     assert pair_defects.find_defects(pairs.limit(0)).count() == 0
 
 
+def test_statistics_are_those_of_all_pairs(spark, tagger, monkeypatch):
+    monkeypatch.setattr(pair_defects, "HELD", 50)
+    rows = [("packed", n, 0, *p) for n, p in enumerate(_sample())]
+    pairs = spark.createDataFrame(rows, "tab string, rec_id bigint, pair_no bigint, q string, i string, a string").repartition(5)
+    got = pair_defects.fit_tagger(pairs, sample=3)
+    assert got.languages.words == tagger.languages.words and len(got.endings.seen) < len(tagger.endings.seen)
+    judge = lambda t, c: sum(t.endings.share(c) < x for x in pair_defects.VERDICTS)
+    cut = [" ".join(a.split()[:n]) for _, _, a in _sample() for n in range(1, len(a.split()) + 1)]
+    assert [judge(got, c) for c in cut] == [judge(tagger, c) for c in cut]
+    whole = "The cook opens the green door near the fountain"
+    assert got.breaks_off(whole) == tagger.breaks_off(whole) == 0.0 and got.breaks_off("The cook opens the") == 1.0
+
+
 def test_field_gradient_raises_likelihood():
     rng = np.random.default_rng(3)
     xs = [rng.integers(0, 2, (n, len(pair_defects.FEATURES))).astype(float) for n in rng.integers(1, 5, 120)]
