@@ -10,7 +10,7 @@ from ..operators import packing
 from ..runtime import hadoop_fs
 from ..streaming import events as ev
 from ..streaming.packer import stream_bins
-from ..streaming.run import run_to_table
+from ..streaming.run import ordered_source, run_to_table
 from .q_tokens import PACK_SQL, read
 
 
@@ -36,15 +36,12 @@ def stream_sessions(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def stream_first_seen(spark: SparkSession, sf: str) -> DataFrame:
-    return _stream(spark, sf, "events", lambda s: ev.first_seen(s)).groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
+    return _stream(spark, sf, "events", lambda s: ev.first_seen(s, late=None)).groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
 
 
 def stream_packer(spark: SparkSession, sf: str) -> DataFrame:
-    def plan(s: DataFrame) -> DataFrame:
-        rows = s.filter("source is not null").select(F.col("source").alias("grp"), F.col("doc_id").alias("pos"), F.coalesce("n_chars", F.lit(0)).alias("n"))
-        return stream_bins(rows)
-
-    return _stream(spark, sf, "documents", plan)
+    rows = read(spark, sf, "documents").filter("source is not null").select(F.col("source").alias("grp"), F.col("doc_id").alias("pos"), F.coalesce("n_chars", F.lit(0)).alias("n"))
+    return run_to_table(spark, ordered_source(rows, "pos"), rows.schema, stream_bins)
 
 
 def star_revenue(spark: SparkSession, sf: str) -> DataFrame:

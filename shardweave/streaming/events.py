@@ -32,6 +32,11 @@ def sessions(events: DataFrame, gap: str = "30 minutes", late: str = "10 minutes
     return out.select(_naive("w.start").alias("session_start"), _naive("w.end").alias("session_end"), "user_id", "n")
 
 
-def first_seen(events: DataFrame, key: str = "event_id", ts: str = "ts", late: str = "1 hour") -> DataFrame:
-    """Each event once, however often it is delivered within the watermark."""
-    return _timed(events, ts).withWatermark(ts, late).dropDuplicatesWithinWatermark([key]) if events.isStreaming else events.dropDuplicates([key])
+def first_seen(events: DataFrame, key: str = "event_id", ts: str = "ts", late: str | None = "1 hour") -> DataFrame:
+    """Each event once, however often it is delivered within the watermark.
+
+    Without ``late`` no event of a stream is too late: each key stays in the state.
+    """
+    if events.isStreaming and late:
+        return _timed(events, ts).withWatermark(ts, late).dropDuplicatesWithinWatermark([key])
+    return events.dropDuplicates([key])

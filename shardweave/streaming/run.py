@@ -7,7 +7,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-from ..runtime import scratch_path
+from ..runtime import hadoop_fs, scratch_path
+
+#: Rows of one file of an ordered source.
+FILE_ROWS = 500_000
+
+
+def ordered_source(rows: DataFrame, order: str, file_rows: int = FILE_ROWS) -> str:
+    """A folder with ``rows`` whose files, taken by time as a stream takes them, follow ``order``."""
+    path = scratch_path(rows.sparkSession, "ordered")
+    files = max(1, -(-rows.count() // file_rows))
+    rows.repartitionByRange(files, order).sortWithinPartitions(order).write.parquet(path)
+    fs, where = hadoop_fs(rows.sparkSession, path)
+    parts = [f.getPath() for f in fs.listStatus(where) if f.getPath().getName().startswith("part-")]
+    for n, part in enumerate(sorted(parts, key=lambda p: p.getName())):
+        fs.setTimes(part, 1_000_000_000_000 + 1000 * n, -1)
+    return path
 
 
 def run_to_table(spark: SparkSession, source: str, schema: StructType, plan: Callable[[DataFrame], DataFrame], mode: str = "append", files: int = 4, glob: str | None = None) -> DataFrame:

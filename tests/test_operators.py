@@ -414,3 +414,28 @@ def test_runtime(spark):
     small, large = spark.range(5), spark.range(50)
     assert "broadcast" in broadcast_checked(small, 10)._jdf.queryExecution().toString().lower()
     assert "broadcast" not in broadcast_checked(large, 10)._jdf.queryExecution().toString().lower()
+
+
+def test_streams_do_not_depend_on_the_files(spark, tmp_path):
+    from datetime import datetime, timedelta
+
+    from shardweave.plans import q_stream
+    from shardweave.streaming import packer, run
+
+    day = datetime(2024, 1, 1)
+    sizes = [500 + 37 * (n * n % 90) for n in range(60)]
+    for k in range(6):  # the later a file arrives, the older are its rows
+        ids = range(50 - 10 * k, 60 - 10 * k)
+        spark.createDataFrame([(i, day + timedelta(days=i), "a") for i in ids], "event_id bigint, ts timestamp, event_type string").coalesce(1).write.mode("append").parquet(f"{tmp_path}/events.parquet")
+        spark.createDataFrame([(i, "s", sizes[i]) for i in ids], "doc_id bigint, source string, n_chars bigint").coalesce(1).write.mode("append").parquet(f"{tmp_path}/documents.parquet")
+    assert [tuple(r) for r in q_stream.stream_first_seen(spark, str(tmp_path)).collect()] == [("a", 60)]
+    want, used, n = [], 0, 0
+    for size in sizes:
+        if used + size > packer.CAPACITY and n:
+            want.append(("s", len(want), n, used))
+            used, n = 0, 0
+        used, n = used + size, n + 1
+    assert sorted(map(tuple, q_stream.stream_packer(spark, str(tmp_path)).collect())) == want
+    rows = spark.createDataFrame([("s", i, x) for i, x in reversed(list(enumerate(sizes)))], "grp string, pos bigint, n bigint")
+    source = run.ordered_source(rows, "pos", 7)
+    assert sorted(map(tuple, run.run_to_table(spark, source, rows.schema, packer.stream_bins, files=1).collect())) == want
