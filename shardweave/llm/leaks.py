@@ -18,7 +18,7 @@ import hashlib
 import re
 import unicodedata as ud
 import uuid
-from collections import Counter, defaultdict
+from collections import defaultdict
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -43,7 +43,7 @@ RADIUS, BLOCKS = 3, 4
 SIGN_GAP = 4
 #: Stretch words beyond a shared introduction that a case needs (signs: twice as many).
 OWN_WORDS = 6
-#: Items that open with the same words share an introduction if there are so many of them.
+#: Items that open with the same words share an introduction if so many of them differ after it.
 SHARED = 3
 #: Items of one index block, documents of one slice, windows of one fingerprint pass.
 ITEM_BLOCK, SLICE, PASS = 20_000, 1000, 200_000
@@ -265,12 +265,46 @@ class Items:
             yield d, k, s
 
 
-def introductions(rows: list[tuple[int, str | None]]) -> dict[int, int]:
-    """Units of each item's opening that SHARED or more items have in common word for word."""
-    openings, cut = Counter(), {i: units(t or "") for i, t in rows}
-    for u in cut.values():
-        openings.update({tuple(u[:n]) for n in range(1, min(len(u), 40) + 1)})
-    return {i: max((n for n in range(1, min(len(u), 40) + 1) if openings[tuple(u[:n])] >= SHARED), default=0) for i, u in cut.items()}
+def _opening_hashes(u: list[str]) -> Iterator[int]:
+    """A hash of each opening of a text, shortest first."""
+    h = b""
+    for x in u:
+        h = hashlib.blake2b(h + x.encode("utf-8", "surrogatepass"), digest_size=8).digest()
+        yield int.from_bytes(h, "little", signed=True)
+
+
+def shared_openings(asked: DataFrame) -> set[int]:
+    """Hashes of the openings after which SHARED or more different item texts part.
+
+    Taken over all items; equal texts count once.  The driver sees fewer openings than there are texts.
+    """
+
+    def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for at in range(0, b.num_rows, SLICE):
+                opening, then, text = [], [], []
+                for t in b.slice(at, SLICE).column(0).to_pylist():
+                    h = list(_opening_hashes(u := units(t or "")))
+                    opening += h
+                    then += [*u[1:], ""] if u else []
+                    text += h[-1:] * len(h)
+                yield pa.RecordBatch.from_arrays([pa.array(opening, pa.int64()), pa.array(then, pa.string()), pa.array(text, pa.int64())], names=["opening", "then", "text"])
+
+    rows = asked.select("words").mapInArrow(cut, "opening bigint, then string, text bigint").distinct()
+    parted = rows.groupBy("opening").agg(F.count(F.lit(1)).alias("texts"), F.count_distinct("then").alias("ways"))
+    return {r["opening"] for r in parted.filter((F.col("texts") >= SHARED) & (F.col("ways") > 1)).select("opening").collect()}
+
+
+def introductions(rows: list[tuple[int, str | None]], openings: set[int]) -> dict[int, int]:
+    """Units of each item's longest shared opening that introduces it, which is no longer than what follows it.
+
+    A longer one is a passage that several items ask about, and counts.
+    """
+    out = {}
+    for i, t in rows:
+        u = units(t or "")
+        out[i] = max((n for n, h in enumerate(_opening_hashes(u), 1) if 2 * n <= len(u) and h in openings), default=0)
+    return out
 
 
 OUT = "doc_id {kind}, item_id {item}, n_units int, whole boolean"
@@ -289,10 +323,10 @@ def find_leaks(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text:
     blocks = max(1, -(-asked.count() // item_block))
     named = docs.select(F.col(doc_id).alias("doc"), F.col(text).alias("words")).filter(F.col("words").isNotNull())
     schema = OUT.format(kind=dict(named.dtypes)["doc"], item=dict(asked.dtypes)["item"])
-    out = None
+    openings, out = shared_openings(asked), None
     for b in range(blocks):
         rows = [(r["item"], r["words"]) for r in asked.filter(F.pmod(F.xxhash64("item"), F.lit(blocks)) == b).collect()]
-        found = _scan(named, rows, schema)
+        found = _scan(named, rows, introductions(rows, openings), schema)
         out = found if out is None else out.unionByName(found)
     return out
 
@@ -308,9 +342,9 @@ def _worker_block(number: int, sent: Broadcast) -> Items:
     return _blocks[number]
 
 
-def _scan(named: DataFrame, rows: list[tuple[int, str | None]], schema: str) -> DataFrame:
+def _scan(named: DataFrame, rows: list[tuple[int, str | None]], intros: dict[int, int], schema: str) -> DataFrame:
     """One block of items against all documents; a worker builds the block's index once."""
-    sent = named.sparkSession.sparkContext.broadcast((rows, introductions(rows)))
+    sent = named.sparkSession.sparkContext.broadcast((rows, intros))
     names = [c.split()[0] for c in schema.split(", ")]
     number = uuid.uuid4().int
 

@@ -337,6 +337,18 @@ def test_leaks(spark):
     assert leaks.find_leaks(docs.limit(0), asked).count() == 0 and leaks.find_leaks(docs, asked.limit(0)).count() == 0
 
 
+def test_introductions_are_openings_of_different_items(spark):
+    passage = " ".join(f"{w}{n}" for n in range(4) for w in WORDS[:15])
+    stock = " ".join(f"please{n}" for n in range(45))
+    items = [(n, " ".join(WORDS)) for n in (1, 2, 3)] + [(n, f"{passage} who saw {x}") for n, x in ((4, "tea"), (5, "salt"), (6, "rye"))]
+    items += [(n, f"{stock} " + " ".join(f"{x}{k}" for k in range(60))) for n, x in ((7, "one"), (8, "two"), (9, "three"))]
+    docs = spark.createDataFrame([(1, " ".join(WORDS)), (2, " ".join(passage.split()[:30])), (3, stock), (4, items[6][1])], "doc_id bigint, text string")
+    asked = spark.createDataFrame(items, "item_id bigint, text string")
+    for block in (2, 20_000):
+        got = {(r.doc_id, r.item_id) for r in leaks.find_leaks(docs, asked, item_block=block).collect()}
+        assert got == {(1, 1), (1, 2), (1, 3), (2, 4), (2, 5), (2, 6), (4, 7)}
+
+
 def test_ideographic_leaks(spark):
     signs = "".join(chr(0x4E00 + 37 * i) for i in range(60))
     docs = spark.createDataFrame([(1, "ab " + signs[10:34] + " cd"), (2, signs[10:33]), (3, signs[:20] + chr(0x9F00) + signs[21:40])], "doc_id bigint, text string")
