@@ -1,8 +1,10 @@
 """Filling fixed-capacity sequences with whole samples along a space-filling curve (problem 1).
 
 Every sample's token ids are hashed into a short vector, projected to three dimensions and placed on a
-Hilbert curve.  The samples are range-partitioned and sorted by curve position (one shuffle of the
-tokens), and each partition packs neighbours best-fit into a bounded number of open sequences.
+Hilbert curve.  The curve is cut into segments of about equal token counts, the samples are shuffled by
+segment and sorted by curve position (one shuffle of the tokens), and each segment packs neighbours
+best-fit into a bounded number of open sequences.  The segments follow from the data alone, so neither
+the number of partitions nor what adaptive execution makes of them changes a sequence.
 """
 
 from __future__ import annotations
@@ -12,8 +14,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,6 +22,8 @@ CAPACITY = 8000
 #: Ids from here on stand for media patches; they say nothing about a sample's content and are not hashed.
 MEDIA_IDS = 32000
 DIMENSIONS, BITS, HASHED = 3, 16, 64
+#: The curve's cells that tokens are counted in (one number each for the driver), tokens of a segment, and segments at most.
+CELLS, SEGMENT, SEGMENTS = 1 << 16, 4_000_000, 1 << 16
 #: Sequences that a task holds open; the fullest is closed when one more is needed.
 OPEN = 128
 #: Most bytes of one Arrow batch: token lists are long, and several batches per task are in memory at once.
@@ -186,8 +189,8 @@ def _batch(first: int, seqs: list[list]) -> pa.RecordBatch:
 
 
 def _samples(b: pa.RecordBatch) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """(curve, sample, ids, mask) of each row; a mask that is missing or short is filled up with 0, a long one cut."""
-    curve, sample, ids, mask = b.columns
+    """(curve, sample, ids, mask) of each row of (segment, curve, sample, ids, mask); a mask that is missing or short is filled up with 0, a long one cut."""
+    _, curve, sample, ids, mask = b.columns
     curve, sample = curve.to_numpy(), sample.to_pylist()
     (flat, ends), (mflat, mends) = _flat(ids), _flat(mask)
     for i in range(b.num_rows):
@@ -211,33 +214,80 @@ def pack_sequences(df: DataFrame, id_col: str = "sample_id", ids: str = "input_i
         spark.conf.set(limit, str(ARROW_BYTES))  # read when the plan runs, so it has to stay set
     named = df.select(F.col(id_col).cast("bigint").alias("sample_id"), F.col(ids).cast("array<int>").alias("ids"), F.coalesce(F.col(mask).cast("array<int>"), F.array().cast("array<int>")).alias("mask"))
     placed = named.filter(F.size("ids") > 0).withColumn("curve", _curve("ids"))
-    order = [F.col("curve"), F.col("sample_id"), F.size("ids"), F.size("mask").desc()]
-    ranged = placed.repartitionByRange("curve", "sample_id").sortWithinPartitions(*order).select("curve", "sample_id", "ids", "mask")
+    salt = [F.col("sample_id"), F.size("ids"), *(F.get("ids", (F.size("ids") * k / 8).cast("int")) for k in range(8))]
+    order = [F.col("segment"), F.col("curve"), F.col("sample_id"), F.size("ids"), F.size("mask").desc()]
+    located = placed.withColumn("segment", segment_of(F.col("curve"), salt, curve_segments(placed)))
+    ranged = located.repartition("segment").sortWithinPartitions(*order).select("segment", "curve", "sample_id", "ids", "mask")
 
     def pack(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        packer, ready = Packer(capacity), []
-        number = TaskContext.get().partitionId() << 33
+        packer, ready, now, number = Packer(capacity), [], None, 0
         seen: tuple = ()
         same: list[np.ndarray] = []
+
+        def leave(everything: bool) -> Iterator[pa.RecordBatch]:
+            nonlocal ready, number
+            while len(ready) >= BATCH or (everything and ready):
+                yield _batch((now << 32) + number, ready[:BATCH])
+                number += len(ready[:BATCH])
+                ready = ready[BATCH:]
+
         for b in batches:
-            for curve, sample, x, m in _samples(b):
+            for segment, (curve, sample, x, m) in zip(b.column(0).to_pylist(), _samples(b), strict=True):
+                if segment != now:
+                    ready += packer.finish()
+                    yield from leave(True)
+                    packer, now, number, seen = Packer(capacity), segment, 0, ()
                 if (curve, sample) != seen:
                     seen, same = (curve, sample), []
                 elif sample is not None and any(np.array_equal(x, y) for y in same):
                     continue
                 same.append(x)
                 ready += packer.add(sample, x, m)
-                while len(ready) >= BATCH:
-                    yield _batch(number, ready[:BATCH])
-                    number += BATCH
-                    ready = ready[BATCH:]
+                yield from leave(False)
         ready += packer.finish()
-        for i in range(0, len(ready), BATCH):
-            yield _batch(number + i, ready[i : i + BATCH])
+        yield from leave(True)
 
     return ranged.mapInArrow(pack, SCHEMA)
 
 
+def curve_segments(placed: DataFrame) -> list[tuple[int, int]]:
+    """(first cell, number of parts) of each segment of the curve, in order.
+
+    A segment is a run of cells with SEGMENT tokens (more, if there would be over SEGMENTS of them).  A cell that
+    alone holds twice as many is a segment in several parts, its samples spread by id.
+    """
+    cell = F.shiftright("curve", DIMENSIONS * BITS - (CELLS - 1).bit_length())
+    rows = placed.groupBy(cell.cast("int").alias("cell")).agg(F.sum(F.size("ids").cast("bigint")).alias("n")).collect()
+    counts = sorted((r["cell"], r["n"]) for r in rows)
+    aim = max(SEGMENT, -(-sum(n for _, n in counts) // SEGMENTS))
+    out, held = [], aim
+    for at, n in counts:
+        if n >= 2 * aim:
+            out.append((at, n // aim))
+            held = aim
+        else:
+            if held >= aim:
+                out.append((at, 1))
+                held = 0
+            held += n
+    return out
+
+
+def segment_of(curve: Column, salt: list[Column], segments: list[tuple[int, int]]) -> Column:
+    """Number of the segment (and part, by the hash of ``salt``) that a sample belongs to."""
+    firsts = np.array([at for at, _ in segments], dtype=np.int64)
+    parts = np.array([n for _, n in segments], dtype=np.int64)
+    bases = np.cumsum(parts) - parts
+    shift = DIMENSIONS * BITS - (CELLS - 1).bit_length()
+
+    @F.arrow_udf(T.LongType())
+    def find(position: pa.Array, mixed: pa.Array) -> pa.Array:
+        i = np.searchsorted(firsts, position.to_numpy() >> shift, side="right") - 1
+        return pa.array(bases[i] + mixed.to_numpy() % parts[i])
+
+    return find(curve, F.pmod(F.xxhash64(*salt), F.lit(1 << 20))) if segments else F.lit(0).cast("bigint")
+
+
 def fill_report(sequences: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """One row: sequences, tokens and the share of the capacity that they fill (0 for no sequence)."""
     n, tokens = F.count(F.lit(1)), F.coalesce(F.sum("n_tokens"), F.lit(0))
