@@ -8,7 +8,7 @@ order of each pattern's items, found by a two-level prefix sum without any globa
 
 from __future__ import annotations
 
-from collections import deque
+from collections import Counter, deque
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -19,11 +19,18 @@ from ..runtime import materialize
 
 #: Buckets of the seeded order; a window never holds more than one bucket of one pattern.
 BUCKETS = 1024
+#: Most membership patterns, which the driver plans with and which are broadcast; more are an error, never a cut.
+PATTERNS = 20_000
+SEPARATOR = "\x1f"
 
 
 @dataclass
 class Flow:
-    """Successive shortest paths on a small network; the cost of an arc is a whole number."""
+    """Primal-dual min-cost flow on a small network; the cost of an arc is a whole number.
+
+    Each round finds the cheapest distances and then fills all cheapest paths at once (breadth first, then a
+    blocking flow), so the rounds are as many as there are different path costs and lengths, not paths.
+    """
 
     arcs: list[list[int]] = field(default_factory=list)  # to, capacity left, cost; arc i ^ 1 is its reverse
     out: dict[object, list[int]] = field(default_factory=dict)
@@ -35,32 +42,69 @@ class Flow:
         self.arcs.append([a, 0, -cost])
         return len(self.arcs) - 2
 
+    def _distances(self, source: object) -> dict[object, int]:
+        dist, queue, queued = {source: 0}, deque([source]), {source}
+        while queue:
+            a = queue.popleft()
+            queued.discard(a)
+            for i in self.out.get(a, ()):
+                b, left, cost = self.arcs[i]
+                if left > 0 and dist[a] + cost < dist.get(b, 1 << 60):
+                    dist[b] = dist[a] + cost
+                    if b not in queued:
+                        queued.add(b)
+                        queue.append(b)
+        return dist
+
+    def _hops(self, source: object, dist: dict[object, int]) -> dict[object, int]:
+        """Steps from the source along arcs of cheapest paths."""
+        hops, queue = {source: 0}, deque([source])
+        while queue:
+            a = queue.popleft()
+            for i in self.out.get(a, ()):
+                b, left, cost = self.arcs[i]
+                if left > 0 and b not in hops and dist[b] == dist[a] + cost:
+                    hops[b] = hops[a] + 1
+                    queue.append(b)
+        return hops
+
+    def _fill(self, a: object, sink: object, amount: int, dist: dict, hops: dict, at: dict) -> int:
+        if a == sink:
+            return amount
+        arcs, sent = self.out.get(a, ()), 0
+        while at.get(a, 0) < len(arcs) and sent < amount:
+            i = arcs[at.get(a, 0)]
+            b, left, cost = self.arcs[i]
+            if left > 0 and hops.get(b, -1) == hops[a] + 1 and dist[b] == dist[a] + cost:
+                push = self._fill(b, sink, min(left, amount - sent), dist, hops, at)
+                self.arcs[i][1] -= push
+                self.arcs[i ^ 1][1] += push
+                sent += push
+                if sent == amount:
+                    break
+            at[a] = at.get(a, 0) + 1
+        return sent
+
     def run(self, source: object, sink: object) -> int:
         total = 0
         while True:
-            dist, by, queue = {source: 0}, {}, deque([source])
-            while queue:
-                a = queue.popleft()
-                for i in self.out.get(a, ()):
-                    b, left, cost = self.arcs[i]
-                    if left > 0 and dist[a] + cost < dist.get(b, 1 << 60):
-                        dist[b], by[b] = dist[a] + cost, i
-                        queue.append(b)
-            if sink not in by:
+            dist = self._distances(source)
+            if sink not in dist:
                 return total
-            path, b = [], sink
-            while b != source:
-                path.append(by[b])
-                b = self.arcs[by[b] ^ 1][0]
-            push = min(self.arcs[i][1] for i in path)
-            for i in path:
-                self.arcs[i][1] -= push
-                self.arcs[i ^ 1][1] += push
-            total += push
+            while sink in (hops := self._hops(source, dist)):
+                total += self._fill(source, sink, 1 << 62, dist, hops, {})
+
+    def reached(self, source: object) -> set:
+        """Nodes on the source's side of a smallest cut, once the flow is full."""
+        return set(self._distances(source))
+
 
+def route(sizes: dict[tuple[str, ...], int], quotas: dict[str, int], repeats: dict[str, int]) -> tuple[dict[tuple, int], set[str]]:
+    """({(pattern, source): amount}, sources that are short together) at least total repetition cost.
 
-def route(sizes: dict[tuple[str, ...], int], quotas: dict[str, int], repeats: dict[str, int]) -> tuple[dict[tuple, int], bool]:
-    """({(pattern, source): amount}, whether every quota is met) at least total repetition cost."""
+    The set is empty if every quota is met; else it is a set of sources whose joint quota exceeds what their
+    patterns can give (a smallest cut).
+    """
     net, used = Flow(), {}
     for p, size in sizes.items():
         for k in range(max(repeats[s] for s in p)):
@@ -70,26 +114,49 @@ def route(sizes: dict[tuple[str, ...], int], quotas: dict[str, int], repeats: di
     for s, q in quotas.items():
         net.arc(("s", s), "to", q, 0)
     full = net.run("from", "to") == sum(quotas.values())
-    return {k: net.arcs[i ^ 1][1] for k, i in used.items() if net.arcs[i ^ 1][1]}, full
+    short = set() if full else set(quotas) - {n[1] for n in net.reached("from") if n[0] == "s"}
+    return {k: net.arcs[i ^ 1][1] for k, i in used.items() if net.arcs[i ^ 1][1]}, short
+
+
+def _most(sources: set[str], share: dict[str, float], sizes: dict[tuple[str, ...], int], repeats: dict[str, int], high: int) -> int:
+    """Largest total at most ``high`` at which the quotas of ``sources`` do not exceed all that their patterns can give."""
+    room = sum(n * min(max(repeats[s] for s in p), sum(repeats[s] for s in p if s in sources)) for p, n in sizes.items())
+    low = 0
+    while low < high:
+        mid = (low + high + 1) // 2
+        low, high = (mid, high) if sum(_quota(mid, share[s]) for s in sources) <= room else (low, mid - 1)
+    return low
+
+
+def _quota(total: int, share: float) -> int:
+    return int(total * share + 1e-9)
 
 
 def plan_mix(sizes: dict[tuple[str, ...], int], shares: dict[str, float], repeats: dict[str, int], total: int | None = None) -> tuple[dict[tuple, int], dict[str, int]]:
     """(flow, quotas) of the largest mix, at most ``total``, in which every available source meets its share.
 
-    Sources without any sample cannot contribute; the shares of the others keep their proportions.
+    Sources without any sample cannot contribute; the shares of the others keep their proportions.  Patterns that
+    are equal once such sources are left out count together; the flow names the patterns without them.  The total
+    is found by cuts: while some sources are short, it falls to the most that their patterns can give, which
+    takes at most as many flows as there are sets of sources and in practice a few.
     """
     there = {s for p, n in sizes.items() if n for s in p if shares.get(s, 0) > 0 and repeats.get(s, 0) > 0}
-    whole = sum(shares[s] for s in there)
     if not there:
         return {}, {}
-    quotas_of = lambda t: {s: int(t * (shares[s] / whole) + 1e-9) for s in sorted(there)}
-    usable = {q: n for p, n in sizes.items() if n and (q := tuple(s for s in p if s in there))}
-    low, high = 0, sum(n * max(repeats[s] for s in p) for p, n in usable.items())
+    whole = sum(shares[s] for s in there)
+    share = {s: shares[s] / whole for s in sorted(there)}
+    usable: dict[tuple[str, ...], int] = {}
+    for p, n in sizes.items():
+        if n and (q := tuple(s for s in p if s in there)):
+            usable[q] = usable.get(q, 0) + n
+    high = sum(n * max(repeats[s] for s in p) for p, n in usable.items()) + len(share)
     high = high if total is None else min(high, total)
-    while low < high:
-        mid = (low + high + 1) // 2
-        low, high = (mid, high) if route(usable, quotas_of(mid), repeats)[1] else (low, mid - 1)
-    return route(usable, quotas_of(low), repeats)[0], quotas_of(low)
+    while True:
+        quotas = {s: _quota(high, x) for s, x in share.items()}
+        flow, short = route(usable, quotas, repeats)
+        if not short:
+            return flow, quotas
+        high = _most(short, share, usable, repeats, high - 1)
 
 
 def canonical_url(c: Column) -> Column:
@@ -118,35 +185,46 @@ def draw_mix(members: DataFrame, targets: DataFrame, total: int | None = None, s
 
     ``members``: (item, source, size), one row per item and source it belongs to; ``targets``: (source,
     target_share, max_repeats), a small table with one row per source.  Items of no target source are not
-    drawn.  The driver sees one number per membership pattern, at most 2 ** (number of target sources).
+    drawn.  The driver sees one number per membership pattern, at most PATTERNS; more raise an error.
 
     ``drawn``: (source, item, size, passes, n_drawn): an item drawn from n_drawn times its samples, at most
     ``passes`` passes over it; the last pass of the item at the edge of an interval may be partial.
     ``report``: (source, target_share, max_repeats, n_available, n_drawn, repeats, actual_share), every target
-    source once; a source without samples has 0.
+    source once; a source without samples has 0.  An item of several sources counts as available in each; a
+    source with share or max_repeats 0 is reported, and its items are drawn for their other sources only.
+    Rows with a null item count as one item; rows with a null source or size are left out.
     """
     spark = members.sparkSession
     rows = targets.groupBy(F.lower(F.trim("source")).alias("source")).agg(F.sum("target_share").alias("share"), F.max("max_repeats").alias("reps")).filter("source is not null").collect()
     shares, repeats = {r["source"]: r["share"] or 0.0 for r in rows}, {r["source"]: int(r["reps"] or 0) for r in rows}
+    usable = [s for s in shares if shares[s] > 0 and repeats[s] > 0]
     wanted = members.filter(F.col("source").isin(list(shares)) & (F.col("size") > 0))
-    grouped = wanted.groupBy("item").agg(F.array_sort(F.collect_set("source")).alias("pattern"), F.max("size").alias("size"))
+    grouped = wanted.groupBy("item").agg(F.array_sort(F.collect_set("source")).alias("every"), F.max("size").alias("size"))
+    names = F.array_join("every", SEPARATOR), F.array_join(F.filter("every", lambda s: s.isin(usable)), SEPARATOR)
     order = F.xxhash64(F.lit(seed), "item")
-    items = materialize(grouped.select("item", "size", F.array_join("pattern", "\x1f").alias("pattern"), order.alias("h"), F.pmod(F.shiftright(order, 20), F.lit(BUCKETS)).cast("int").alias("bucket")), "items")
-    sizes = {tuple(r["pattern"].split("\x1f")): r["n"] for r in items.groupBy("pattern").agg(F.sum("size").alias("n")).collect()}
+    items = materialize(grouped.select("item", "size", names[0].alias("every"), names[1].alias("pattern"), order.alias("h"), F.pmod(F.shiftright(order, 20), F.lit(BUCKETS)).cast("int").alias("bucket")), "items")
+    patterns = items.groupBy("every", "pattern").agg(F.sum("size").alias("n")).limit(PATTERNS + 1).collect()
+    if len(patterns) > PATTERNS:
+        raise ValueError(f"the sources overlap in more than {PATTERNS} ways; leave out sources or raise PATTERNS")
+    sizes, available = Counter(), Counter()
+    for r in patterns:
+        for s in r["every"].split(SEPARATOR):
+            available[s] += r["n"]
+        if r["pattern"]:
+            sizes[tuple(r["pattern"].split(SEPARATOR))] += r["n"]
     flow, _ = plan_mix(sizes, shares, repeats, total)
 
-    buckets = items.groupBy("pattern", "bucket").agg(F.sum("size").alias("n"))
+    live = items.filter("pattern <> ''")
+    buckets = live.groupBy("pattern", "bucket").agg(F.sum("size").alias("n"))
     before = F.coalesce(F.sum("n").over(W.partitionBy("pattern").orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
     bases = buckets.select("pattern", "bucket", before.alias("base"))
     inside = F.sum("size").over(W.partitionBy("pattern", "bucket").orderBy("h", "item").rowsBetween(W.unboundedPreceding, W.currentRow)) - F.col("size")
-    placed = items.withColumn("inside", inside).join(bases, ["pattern", "bucket"]).withColumn("lo", F.col("base") + F.col("inside"))
+    placed = live.withColumn("inside", inside).join(bases, ["pattern", "bucket"]).withColumn("lo", F.col("base") + F.col("inside"))
 
     start: dict[tuple, int] = {}
     arcs = []
-    usable = {q: p for p in sizes if (q := tuple(s for s in p if any(k[1] == s for k in flow)))}
     for (p, s), amount in sorted(flow.items()):
-        whole = usable.get(p, p)
-        arcs.append(("\x1f".join(whole), s, amount, start.get(p, 0) % sizes[whole], sizes[whole]))
+        arcs.append((SEPARATOR.join(p), s, amount, start.get(p, 0) % sizes[p], sizes[p]))
         start[p] = start.get(p, 0) + amount
     plan = spark.createDataFrame(arcs, "pattern string, source string, amount bigint, first bigint, circle bigint")
     amount, first, circle = F.col("amount"), F.col("first"), F.col("circle")
@@ -158,10 +236,10 @@ def draw_mix(members: DataFrame, targets: DataFrame, total: int | None = None, s
 
     lo, hi = F.col("lo"), F.col("lo") + F.col("size")
     taken = passes * F.col("size") + covered(hi) - covered(lo)
+    # at most PATTERNS x sources rows
     drawn = placed.join(F.broadcast(plan), "pattern").withColumn("n_drawn", taken.cast("bigint")).filter("n_drawn > 0")
     drawn = drawn.select("source", "item", "size", F.ceil(F.col("n_drawn") / F.col("size")).cast("int").alias("passes"), "n_drawn")
 
-    available = {s: sum(n for p, n in sizes.items() if s in p) for s in shares}
     got = {s: sum(v for (_, t), v in flow.items() if t == s) for s in shares}
     whole = sum(got.values())
     lines = [(s, shares[s], repeats[s], available[s], got[s], round(got[s] / available[s], 6) if available[s] else 0.0, round(got[s] / whole, 6) if whole else 0.0) for s in sorted(shares)]
