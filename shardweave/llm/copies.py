@@ -64,7 +64,10 @@ def _canonical(x: object) -> object:
 
 
 def canonical_value(value: str) -> str:
-    """One string for all formattings of a value: a text folded, a record of named fields sorted by name."""
+    """One string for all formattings of a value: a text folded, a record of named fields sorted by name.
+
+    JSON counts by its content: its escapes are resolved, and a list of texts is the text that they make up.
+    """
     try:
         parsed = json.loads(value, parse_float=str, parse_int=str, parse_constant=str)
     except (ValueError, RecursionError):
@@ -75,8 +78,8 @@ def canonical_value(value: str) -> str:
         if len(parts) > 1 and all(named):
             return json.dumps(sorted([_letters(m[1]), _letters(m[2])] for m in named))
         return _letters(parsed)
-    if isinstance(parsed, list):
-        return _letters(value) if all(isinstance(x, str) for x in parsed) else json.dumps(_canonical(parsed))
+    if isinstance(parsed, list) and all(isinstance(x, str) for x in parsed):
+        return "".join(map(_letters, parsed))
     return json.dumps(_canonical(parsed))
 
 
@@ -93,13 +96,14 @@ def copy_classes(df: DataFrame, id_col: str = "rec_id", path: str = "video_path"
     """(rec_id, first_id, n_copies) of every row that has copies: same path and value but for formatting.
 
     Rows with null or blank value belong to no class.  A null path equals only a null path.  ``first_id`` is
-    the smallest id of the class.  Ids that stand twice count as two copies.
+    the smallest id of the class.  Ids that stand twice count as two copies.  A class of the cheap key may hold
+    any share of all rows: its rows stay where they are and its size comes to them (``attach_stats``).
     """
     base = df.select(F.col(id_col).alias("rec_id"), F.col(path).alias("path"), F.col(value).alias("value"))
     base = base.filter(F.col("value").rlike(r"[^\s\p{Z}\p{C}]")).withColumn("letters", folded(_decoded(F.col("value"))))
-    base = base.withColumn("cheap", cheap_key(F.col("path"), F.col("letters"))).drop("letters")
-    sizes = base.groupBy("cheap").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("cheap")
-    several = base.join(sizes, "cheap", "left_semi")
+    base = materialize(base.withColumn("cheap", cheap_key(F.col("path"), F.col("letters"))).drop("letters"), "invariants")
+    sizes = base.groupBy("cheap").agg(F.count(F.lit(1)).alias("n"))
+    several = attach_stats(base, materialize(sizes.filter("n > 1"), "sizes"), "cheap", "n", base.count())
     keyed = materialize(several.select("rec_id", _costly_key("path", "value").alias("record")), "records")
     stats = materialize(keyed.groupBy("record").agg(F.min("rec_id").alias("first_id"), F.count(F.lit(1)).alias("n_copies")).filter("n_copies > 1"), "classes")
     return attach_stats(keyed, stats, "record", "n_copies", keyed.count()).select("rec_id", "first_id", "n_copies")
