@@ -62,11 +62,13 @@ def _slices(source: str, lang: str, domain: str) -> list[Column]:
 def encoded_counts(df: DataFrame, id_col: str = "sample_id", ids: str = "input_ids", source: str = "source", lang: str = "lang", domain: str = "domain") -> DataFrame:
     """(rec_id, source, lang, domain, n_tokens) of records that are already encoded.
 
-    Null and empty lists count 0.  A record delivered several times counts once, in its longest form.
+    Null and empty lists count 0.  A record delivered several times counts once, in its longest form; rows with a
+    null id cannot be told to be one record and all count.
     """
     rows = df.select(F.col(id_col).alias("rec_id"), *_slices(source, lang, domain), F.coalesce(F.greatest(F.size(ids), F.lit(0)), F.lit(0)).cast("bigint").alias("n_tokens"))
     best = F.max(F.struct("n_tokens", "source", "lang", "domain")).alias("r")
-    return rows.groupBy("rec_id").agg(best).select("rec_id", "r.source", "r.lang", "r.domain", "r.n_tokens")
+    apart = F.when(F.col("rec_id").isNull(), F.monotonically_increasing_id()).alias("apart")
+    return rows.groupBy("rec_id", apart).agg(best).select("rec_id", "r.source", "r.lang", "r.domain", "r.n_tokens")
 
 
 def text_counts(df: DataFrame, id_col: str = "rec_id", text: str = "value", source: str = "dataset", lang: str = "lang", domain: str = "domain", model: str | None = None) -> DataFrame:
