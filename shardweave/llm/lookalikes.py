@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.skew import attach_stats
+from ..operators.skew import HOT_KEYS, attach_stats
 from ..runtime import materialize
 
 # Letters of other scripts that are drawn like a Latin letter, Latin letter first.
@@ -39,6 +39,8 @@ COMPOSED = ((0x00C0, 0x0250), (0x0370, 0x0400), (0x0400, 0x0530), (0x1E00, 0x200
 EMOJI = "\U0001f000-\U0001faff\u2600-\u27bf"
 _JOINED_EMOJI = re.compile(f"(?<=[{EMOJI}\ufe0f])\u200d(?=[{EMOJI}])")
 _MARKED = re.compile("[^\\W\\d][\u0300-\u036f]+")
+#: Rows of one text or class that one task of a join gets at most (about).
+JOIN_BLOCK = 100_000
 _KEEP = "\ue000"  # stands for the joiner of an emoji sequence, which is visible, while invisible ones go
 
 
@@ -217,12 +219,10 @@ def _rewriter(table: dict[str, str]) -> Rewriter:
     return _cache[key]
 
 
-def look_alike_pairs(df: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_a, doc_b), doc_a < doc_b: rows whose texts look the same and are not equal as strings.
+def _texts_apart(df: DataFrame, id_col: str, text: str) -> DataFrame:
+    """(look, string, id) of rows whose text looks like another, different one; hashes stand for form and text.
 
-    Null texts and texts without a visible character pair with nothing.  Texts are told apart by a 128-bit
-    hash pair.  Only classes that hold two or more different texts go on; within them different texts are
-    paired first and their copies after that, so equal copies are never compared with one another.
+    Null texts and texts without a visible character are left out.  Texts are told apart by a 128-bit hash pair.
     """
     named = df.select(F.col(id_col).alias("id"), F.col(text).alias("text")).filter(F.col("text").isNotNull())
     form = consistent_text(named)
@@ -233,13 +233,55 @@ def look_alike_pairs(df: DataFrame, id_col: str = "doc_id", text: str = "text")
     )
     kinds = rows.groupBy("look", "string").agg(F.count(F.lit(1)).alias("n"))
     mixed = materialize(kinds.groupBy("look").agg(F.count(F.lit(1)).alias("kinds"), F.sum("n").alias("rows")).filter("kinds > 1"), "mixed")
-    total = rows.count()
-    live = materialize(attach_stats(rows, mixed, "look", "rows", total).select("look", "string", "id"), "alike")
-    texts = live.groupBy("look", "string").agg(F.count(F.lit(1)).alias("n"))
-    a = texts.select("look", F.col("string").alias("string_a"))
+    return materialize(attach_stats(rows, mixed, "look", "rows", rows.count()).select("look", "string", "id"), "alike")
+
+
+def look_alike_members(df: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+    """(id, class_id, n_texts, n_rows): one row per row of ``df`` whose text looks like a different one.
+
+    ``class_id`` is the smallest id of its class, ``n_texts`` how many different strings the class has, ``n_rows``
+    how many rows.  The form that grows with the rows, not with their pairs.
+    """
+    live = _texts_apart(df, id_col, text)
+    kinds = live.groupBy("look", "string").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n"))
+    stats = materialize(kinds.groupBy("look").agg(F.min("first").alias("class_id"), F.count(F.lit(1)).alias("n_texts"), F.sum("n").alias("n_rows")), "members")
+    return attach_stats(live, stats, "look", "n_rows", live.count()).select("id", "class_id", "n_texts", "n_rows")
+
+
+def _spread_join(left: DataFrame, right: DataFrame, key: str, sizes: DataFrame, total: int) -> DataFrame:
+    """Inner join by ``key`` in which no task gets more than about JOIN_BLOCK left rows of one key.
+
+    ``sizes``: (``key``, n), the left rows of each key, of ``total`` in all.  Keys beyond the bound are cut into
+    parts by the id of their left rows, and their right rows are repeated once per part.
+    """
+    block = max(JOIN_BLOCK, -(-total // HOT_KEYS))
+    hot = sizes.filter(F.col("n") >= block).select(key, F.ceil(F.col("n") / block).cast("int").alias("parts"))
+    if not hot.limit(1).count():
+        return left.join(right, key)
+    hot = F.broadcast(hot)  # at most HOT_KEYS keys can have so many rows
+    cut = left.join(hot, key, "left").withColumn("part", F.coalesce(F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"), F.lit(0))).drop("parts")
+    spread = right.join(hot, key, "left").withColumn("part", F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1))).drop("parts")
+    return cut.join(spread, [key, "part"]).drop("part")
+
+
+def look_alike_pairs(df: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+    """(doc_a, doc_b), doc_a < doc_b: rows whose texts look the same and are not equal as strings.
+
+    Null texts and texts without a visible character pair with nothing.  Only classes that hold two or more
+    different texts go on; within them different texts are paired first and their copies after that, so equal
+    copies are never compared with one another.  A class or a text with very many members is cut into blocks.
+    The pairs of a class are as many as its members' product: :func:`look_alike_members` is the form that grows
+    with the rows.
+    """
+    live = _texts_apart(df, id_col, text)
+    total = live.count()
+    texts = materialize(live.groupBy("look", "string").agg(F.count(F.lit(1)).alias("n")), "texts")
+    a = texts.select("look", F.col("string").alias("id"))
     b = texts.select("look", F.col("string").alias("string_b"))
-    kinds_of = a.join(b, "look").filter("string_a < string_b").select("string_a", "string_b")
-    left = live.select(F.col("string").alias("string_a"), F.col("id").alias("id_a"))
-    right = live.select(F.col("string").alias("string_b"), F.col("id").alias("id_b"))
-    pairs = kinds_of.join(left, "string_a").join(right, "string_b")
-    return pairs.select(F.least("id_a", "id_b").alias("doc_a"), F.greatest("id_a", "id_b").alias("doc_b")).distinct()
+    kinds = _spread_join(a, b, "look", texts.groupBy("look").agg(F.count(F.lit(1)).alias("n")), total)
+    kinds = kinds.filter("id < string_b").select(F.col("id").alias("string_a"), "string_b")
+    sizes = lambda c: texts.select(F.col("string").alias(c), "n")
+    left = _spread_join(live.select(F.col("string").alias("string_a"), "id"), kinds, "string_a", sizes("string_a"), total)
+    left = left.select(F.col("id").alias("id_a"), "string_b")
+    pairs = _spread_join(live.select(F.col("string").alias("string_b"), "id"), left, "string_b", sizes("string_b"), total)
+    return pairs.select(F.least("id_a", "id").alias("doc_a"), F.greatest("id_a", "id").alias("doc_b")).distinct()

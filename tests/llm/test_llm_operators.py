@@ -1,5 +1,6 @@
 """The operators for training data against brute force, on small made-up inputs with every kind of dirt."""
 
+import functools
 import itertools
 import json
 import unicodedata
@@ -12,6 +13,8 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from shardweave.llm import bpe, budget, copies, curve_packing, leaks, lookalikes, mixture, pair_defects
+from shardweave.operators.skew import attach_stats
+from shardweave.runtime import conf
 
 ZWJ, SHY, NBSP = chr(0x200D), chr(0xAD), chr(0xA0)
 
@@ -67,6 +70,23 @@ def test_packing_keeps_every_sample_whole(spark):
     assert len({r.seq_id for r in got}) == len(got)
 
 
+def test_sequences_do_not_depend_on_partitions(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    rows = [(i, rng.integers(3, 30000, int(n)).tolist(), [1], None, None) for i, n in enumerate(rng.integers(1, 40, 400))]
+    rows += [(1000 + i, [7] * 30, [1], None, None) for i in range(200)]  # a third of all tokens at one place of the curve
+    monkeypatch.setattr(curve_packing, "SEGMENT", 1000)
+    df = _tokenized(spark, rows)
+    segments = curve_packing.curve_segments(df.select(F.col("input_ids").alias("ids")).withColumn("curve", curve_packing._curve("ids")))
+    assert len(segments) > 3 and max(n for _, n in segments) > 1
+    want = None
+    for n in (1, 3, 11):
+        with conf(spark, spark__sql__shuffle__partitions=n):
+            got = sorted((r.seq_id, r.sample_ids) for r in curve_packing.pack_sequences(df.repartition(n), capacity=50).collect())
+        want = want or got
+        assert got == want
+    assert sorted(x for _, ids in want for x in ids) == sorted(r[0] for r in rows)
+
+
 def test_packing_nothing(spark):
     empty = _tokenized(spark, [])
     assert curve_packing.pack_sequences(empty).count() == 0
@@ -96,6 +116,38 @@ def test_flow_uses_overlap_to_meet_quotas():
     assert flow[("a", "b"), "b"] == 60 and flow[("b",), "b"] == 10 and flow[("a",), "a"] == 70
 
 
+def test_patterns_that_become_equal_count_together(spark):
+    flow, quotas = mixture.plan_mix({("a", "b"): 100, ("b",): 50}, {"a": 0, "b": 1}, {"a": 1, "b": 1})
+    assert flow == {(("b",), "b"): 150} and quotas == {"b": 150}
+    members = spark.createDataFrame([(f"i{k}", s, 10) for k in range(20) for s in (("a", "b") if k % 2 else ("b",))], "item string, source string, size bigint")
+    targets = spark.createDataFrame([("a", 0.0, 3), ("b", 1.0, 2)], "source string, target_share double, max_repeats int")
+    mix = mixture.draw_mix(members, targets)
+    assert {r.source: (r.n_available, r.n_drawn) for r in mix.report.collect()} == {"a": (100, 0), "b": (200, 400)}
+    assert sorted((r.item, r.n_drawn) for r in mix.drawn.collect()) == sorted((f"i{k}", 20) for k in range(20))
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.dictionaries(st.sets(st.sampled_from("abc"), min_size=1).map(lambda s: tuple(sorted(s))), st.integers(1, 15), min_size=1), st.lists(st.integers(1, 9), min_size=3, max_size=3), st.lists(st.integers(1, 3), min_size=3, max_size=3))
+def test_mix_is_the_largest(sizes, weights, reps):
+    shares, repeats = dict(zip("abc", weights, strict=True)), dict(zip("abc", reps, strict=True))
+    there = {s for p in sizes for s in p}
+    share = {s: shares[s] / sum(shares[x] for x in there) for s in there}
+    flow, quotas = mixture.plan_mix(sizes, shares, repeats)
+    fits = lambda q: all(sum(q[s] for s in c) <= sum(n * min(max(repeats[s] for s in p), sum(repeats[s] for s in p if s in c)) for p, n in sizes.items()) for k in range(1, 4) for c in map(set, itertools.combinations(there, k)))
+    best = max(t for t in range(200) if fits({s: mixture._quota(t, x) for s, x in share.items()}))
+    assert quotas == {s: mixture._quota(best, share[s]) for s in there}
+    assert {s: sum(v for (_, x), v in flow.items() if x == s) for s in there} == quotas
+    for p, n in sizes.items():
+        assert sum(v for (x, _), v in flow.items() if x == p) <= n * max(repeats[s] for s in p)
+
+
+def test_too_many_patterns_are_an_error(spark, monkeypatch):
+    monkeypatch.setattr(mixture, "PATTERNS", 2)
+    members = spark.createDataFrame([("x", "a", 1), ("y", "b", 1), ("z", "a", 1), ("z", "b", 1)], "item string, source string, size bigint")
+    with pytest.raises(ValueError, match="overlap in more than 2 ways"):
+        mixture.draw_mix(members, spark.createDataFrame([("a", 0.5, 1), ("b", 0.5, 1)], "source string, target_share double, max_repeats int"))
+
+
 def test_mix_meets_shares_and_caps(spark):
     items = [(f"s3://x/pack/{s}/{i}", s, 10 + i % 7) for s, n in (("big", 400), ("mid", 60), ("tiny", 5)) for i in range(n)]
     members = spark.createDataFrame(items, "item string, source string, size bigint")
@@ -142,6 +194,7 @@ MANIFEST = [
     (8, "p", "left: a b; right: c"), (9, "p", "Right = C | Left = A, b"), (10, "p", "left: c; right: a b"), (11, "p", "gro" + chr(0xDF) + "er Hund"), (12, "p", "GROSSER HUND!"),
     (13, None, "same"), (14, None, "same"), (15, "p", None), (16, "p", None), (17, "p", "  \t"), (18, "p", ""), (19, "p", "same"), (20, "p", '{"broken": '), (21, "p", '{"BROKEN":'),
     (22, "p", "cat the sits"), (23, "p", "the cat sits"), (24, "q", '["a", "b"]'), (25, "q", "[A, b]"), (26, "r", "Nach 3 Sekunden: ein Hund"), (27, "r", "nach 3 sekunden - ein hund"),
+    (28, "s", '["caf\\u00e9 x"]'), (29, "s", '["Caf' + chr(0xE9) + ' x"]'), (30, "s", '["a\\nb"]'), (31, "s", "a b"), (32, "s", '["anb"]'),
 ]
 
 
@@ -158,14 +211,16 @@ def test_copies_by_brute_force(spark):
     df = spark.createDataFrame([(*r, "x") for r in MANIFEST], "rec_id bigint, video_path string, value string, record string")
     got = {(r.first_id, r.rec_id) for r in copies.copy_classes(df).filter("rec_id <> first_id").collect()}
     assert got == {(min(g), i) for g in _brute(MANIFEST).values() for i in g if i != min(g)}
-    assert got == {(1, 2), (1, 3), (5, 6), (8, 9), (11, 12), (13, 14), (20, 21), (24, 25), (26, 27)}
+    assert got == {(1, 2), (1, 3), (5, 6), (8, 9), (11, 12), (13, 14), (20, 21), (24, 25), (26, 27), (28, 29), (30, 31)}
     collapsed = {r.rec_id: r.n_copies for r in copies.collapse_copies(df).collect()}
     assert sum(collapsed.values()) == len(MANIFEST) and collapsed[1] == 3 and collapsed[15] == 1
     none = df.limit(0)
     assert copies.copy_classes(none).count() == 0 and copies.collapse_copies(none).count() == 0
 
 
-def test_one_class_with_a_third_of_all_rows(spark):
+@pytest.mark.parametrize("hot", [50_000, 100])
+def test_one_class_with_a_third_of_all_rows(spark, monkeypatch, hot):
+    monkeypatch.setattr(copies, "attach_stats", functools.partial(attach_stats, hot_rows=hot))
     df = spark.range(900).select(F.col("id").alias("rec_id"), F.lit("p").alias("video_path"), F.when(F.col("id") % 3 == 0, "Hot  row").otherwise(F.concat(F.lit("row"), F.col("id").cast("string"))).alias("value"))
     got = copies.copy_classes(df)
     assert got.count() == 300 and got.filter("first_id = 0 and n_copies = 300").count() == 300
@@ -270,6 +325,12 @@ def test_encoded_counts_take_a_repeated_sample_once(spark):
     assert sorted((r.rec_id, r.n_tokens, r.lang) for r in budget.encoded_counts(df).collect()) == [(1, 2, "en"), (2, 0, "und"), (3, 0, "und")]
 
 
+def test_rows_without_id_all_count(spark):
+    df = spark.createDataFrame([(None, [1, 2, 3], "a", "en", "d"), (None, [4, 5], "a", "en", "d"), (1, [1], "a", "en", "d")], "sample_id bigint, input_ids array<int>, source string, lang string, domain string")
+    assert sorted(r.n_tokens for r in budget.encoded_counts(df).collect()) == [1, 2, 3]
+    assert budget.token_cube(budget.encoded_counts(df)).filter("source = 'ALL' and lang = 'ALL' and domain = 'ALL'").first().n_tokens == 6
+
+
 # ---- 7: byte pairs ----------------------------------------------------------------------------------------------
 
 
@@ -423,6 +484,18 @@ def test_pairs_by_brute_force(spark):
     assert forms.filter("form is null").count() == 1 and json.dumps(forms.filter("doc_id = 1").first().form) == json.dumps(forms.filter("doc_id = 0").first().form)
 
 
+def test_hot_texts_and_classes_give_the_same_pairs(spark, monkeypatch):
+    odd, texts = chr(0x3BF), ["oo"] * 40 + [chr(0x3BF) + "o"] * 30 + ["o" + chr(0x3BF), chr(0x3BF) * 2, "other", "other"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    assert odd in texts[40]
+    want = {(i, j) for (i, x), (j, y) in itertools.combinations(enumerate(texts[:72]), 2) if x != y}
+    members = {r.id: (r.class_id, r.n_texts, r.n_rows) for r in lookalikes.look_alike_members(df).collect()}
+    assert members == {i: (0, 4, 72) for i in range(72)}
+    for block in (100_000, 3, 1):
+        monkeypatch.setattr(lookalikes, "JOIN_BLOCK", block)
+        assert {(r.doc_a, r.doc_b) for r in lookalikes.look_alike_pairs(df).collect()} == want
+
+
 def test_ascii_texts_follow_a_member_of_another_script(spark):
     big, fi = chr(0x423), chr(0xFB01)
     texts = ["Yes", big + "es", (big + " ") * 40, chr(0xDD) + "a", big + chr(0x301) + "a", "fig", fi + "g", (fi + " ") * 9, "affix a" + chr(0x430), "af" + fi + "x aa"]
