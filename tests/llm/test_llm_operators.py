@@ -283,26 +283,79 @@ def test_pairs_of_both_tables(spark):
     assert pair_defects.find_defects(pairs.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize(
+    "answer", ["As requested I must pass on this one.", "That is something I would rather leave alone.", "Nope, ask someone else please.", "Ich möchte dazu lieber nichts sagen.", "Je ne vais pas répondre.", "我不想回答。"]
+)
+def test_refusals_in_words_that_no_rule_knows(tagger, answer):
+    question = {"I": "Was macht der Koch?", "J": "Que fait le cuisinier ?", "我": "厨师在做什么？"}.get(answer[0], "What does the cook do near the fountain?") if answer[:2] != "In" else ""
+    assert tagger.defect("What does the cook do?" if answer.isascii() else question, "", answer) == "refusal"
+
+
+@pytest.mark.parametrize("answer", ["the picture shows a woman reading on the veranda", "He refuses to answer.", "She says 'I cannot help you'.", "A quokka hops onto the pergola", "Veranda", "on the veranda"])
+def test_unknown_words_are_no_defect(tagger, answer):
+    assert tagger.defect("What does the cook do near the fountain in this clip?", "", answer) is None
+
+
+def test_held_out_pairs(tagger):
+    """Defects made on purpose in pairs that were not fitted on: nine in ten and more are found, and hardly any other."""
+    subjects, verbs = ["the young baker", "a tall cook", "the old waiter", "a brown kite"], ["opens a heavy basket", "paints the green door", "folds the garden fence", "lifts a paper kite"]
+    places = ["in the school gym", "near the fountain", "beside the canal", "on the upper deck"]
+    told = [f"{s.capitalize()} {v} {p}." for s, v, p in itertools.product(subjects, verbs, places)]
+    asked = [f"What does {s} do {p} in this clip?" for s, p in itertools.product(subjects, places)]
+    cases = [(q, a, None) for q, a in zip(itertools.cycle(asked), told, strict=False)]
+    cases += [(q, a[:-1], None) for q, a in zip(itertools.cycle(asked), told, strict=False)]
+    cases += [(q, f"{q.upper()} ", "copy") for q in asked]
+    cases += [(q, " ".join(a.split()[:n]), "truncated") for q, a in zip(itertools.cycle(asked), told, strict=False) for n in (3, len(a.split()) - 1) if a.split()[n - 1] in ("the", "a", "in", "on", "near", "opens", "upper", "school")]
+    cases += [(q, a[:-4], "truncated") for q, a in zip(asked, told[3::4], strict=False)]
+    cases += [(q, r, "refusal") for q, r in zip(itertools.cycle(asked), ("I can't answer that.", "Sorry, I will not help with this.", "I must decline. Please ask another question.", "I'd rather not describe the clip."), strict=False)]
+    cases += [(q, "Un chien brun ouvre la porte verte dans le jardin.", "language") for q in asked]
+    got = [tagger.defect(q, "", a) for q, a, _ in cases]
+    hit = sum(g == d and d is not None for g, (_, _, d) in zip(got, cases, strict=True))
+    assert hit / sum(d is not None for _, _, d in cases) > 0.95 and hit / sum(g is not None for g in got) > 0.95
+
+
 def test_statistics_are_those_of_all_pairs(spark, tagger, monkeypatch):
     monkeypatch.setattr(pair_defects, "HELD", 50)
     rows = [("packed", n, 0, *p) for n, p in enumerate(_sample())]
     pairs = spark.createDataFrame(rows, "tab string, rec_id bigint, pair_no bigint, q string, i string, a string").repartition(5)
     got = pair_defects.fit_tagger(pairs, sample=3)
-    assert got.languages.words == tagger.languages.words and len(got.endings.seen) < len(tagger.endings.seen)
-    judge = lambda t, c: sum(t.endings.share(c) < x for x in pair_defects.VERDICTS)
-    cut = [" ".join(a.split()[:n]) for _, _, a in _sample() for n in range(1, len(a.split()) + 1)]
+    assert got.languages.words == tagger.languages.words and len(got.endings.shares) < len(tagger.endings.shares)
+    judge = lambda t, c: sum((t.endings.share(c) or 0) < x for x in pair_defects.VERDICTS)
+    cut = [pair_defects.words_of(" ".join(a.split()[:n])) for _, _, a in _sample() for n in range(1, len(a.split()) + 1)]
     assert [judge(got, c) for c in cut] == [judge(tagger, c) for c in cut]
-    whole = "The cook opens the green door near the fountain"
-    assert got.breaks_off(whole) == tagger.breaks_off(whole) == 0.0 and got.breaks_off("The cook opens the") == 1.0
+
+
+def test_contexts_by_brute_force():
+    texts = ["The cook opens the door. The cook rests", "a b c d e f g h i.", "No, only once", "x" * 3000, "one\ntwo three (aside) \U0001f642", "他开门。他走", "<image>1. ab, c; d"]
+    seen, ended = {}, {}
+    for t in texts:
+        body = pair_defects.without_tail(pair_defects.clean(t))
+        cs = pair_defects.clauses(body)
+        if cs[-1][-1] not in pair_defects._STOP and sum(w[0].isalnum() for w in pair_defects.words_of(cs[-1])) > pair_defects.SHORT:
+            cs.pop()
+        for k in map(pair_defects.words_of, cs):
+            for i in range(1, len(k) + 1):
+                for n in range(1, min(pair_defects.CONTEXT, i + 1) + 1):
+                    h = 0
+                    for w in [*reversed(k[max(0, i - n) : i]), None][:n]:
+                        h = pair_defects.longer_context(h, pair_defects._START if w is None else pair_defects.word_hash(w))
+                    seen[h] = seen.get(h, 0) + 1
+                    ended[h] = ended.get(h, 0) + (i == len(k))
+    counts = pair_defects.Counts()
+    counts.count([""] * len(texts), texts)
+    rows = list(zip(*(c.to_pylist() for c in counts.batch().columns), strict=True))
+    got = {k & (1 << 64) - 1: (n, e) for k, _, _, n, e, *_ in rows if k is not None}
+    assert got == {h: (n, ended[h]) for h, n in seen.items()}
 
 
 def test_field_gradient_raises_likelihood():
     rng = np.random.default_rng(3)
-    xs = [rng.integers(0, 2, (n, len(pair_defects.FEATURES))).astype(float) for n in rng.integers(1, 5, 120)]
-    ys = [[int(x[3]) for x in seq] for seq in xs]
+    masks = [rng.integers(0, 1 << len(pair_defects.FEATURES), n).tolist() for n in rng.integers(1, 5, 120)]
+    seen = [pair_defects.Seen([""] * len(m), [["w"]] * len(m), m, [["no"] if x >> 3 & 1 else ["yes"] for x in m]) for m in masks]
+    ys = [[int(x >> 3 & 1) for x in m] for m in masks]
     crf = pair_defects.Field()
-    crf.fit(xs, ys, steps=60)
-    assert sum(crf.tag(x) == y for x, y in zip(xs, ys, strict=True)) > 110
+    crf.fit(seen, ys, steps=60)
+    assert sum(crf.tag(x) == y for x, y in zip(seen, ys, strict=True)) > 110
 
 
 # ---- 6: budget --------------------------------------------------------------------------------------------------
