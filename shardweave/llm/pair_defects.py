@@ -21,7 +21,9 @@ import re
 from collections import Counter, defaultdict
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
-from functools import lru_cache
+from functools import cached_property, lru_cache
+from itertools import repeat
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +37,7 @@ SAMPLE = 12_000
 #: Shares of the clauses with a context that end there: bounds of the classes that the field sees.
 VERDICTS = (0.005, 0.02, 0.06, 0.2, 0.5)
 #: Words of context for that, and how often a context must have been seen to be trusted.
-CONTEXT, TRUSTED = 6, 6
+CONTEXT, TRUSTED = 3, 6
 #: How often a word must have been seen to tell languages apart; contexts that a worker holds before it passes them on.
 KNOWN, HELD = 3, 1_000_000
 #: Responses of at most so many words are short answers: never truncated unless a sign of it stands at the end.
@@ -114,7 +116,7 @@ _STOP = ".!?。！？"
 _CLAUSE = re.compile(r"(?<=[.!?])\s+|(?<=[。！？])|\n+")
 _SIGN = "㐀-鿿"
 _TOKEN = re.compile(f"[{_SIGN}]|[^\\W{_SIGN}]+|[,;:，；：、]")
-_IDEOGRAPH = re.compile(f"[{_SIGN}]")
+_IDEOGRAPH, _CYRILLIC, _NO_LETTER = re.compile(f"[{_SIGN}]"), re.compile("[Ѐ-ӿ]"), re.compile(r"[\W\d_]")
 # The same tokens in many texts at once, with the marks that end a clause and signs between clauses and texts.
 _FLAT = re.compile(f"[\x01\x02.!?。！？]|[{_SIGN}]|[^\\W{_SIGN}]+|[,;:，；：、]")
 _AFTER = ")]}\"”’»」*_~ \t\r\n\xa0\u3000"
@@ -124,7 +126,7 @@ _PICTURES = re.compile("[\U0001f000-\U0001faff\u2600-\u27bf\ufe0f\u200d]+$")
 _SIGNS = re.compile(r"[\W_]+")
 _NUMBERED = re.compile(r"\W*\d{1,3}\W*")
 _LABEL = re.compile(r"^\W*[^\W\d_]+\s*[:：]\s*")
-_TAIL = re.compile(rf"(?:[{re.escape(_AFTER)}\U0001f000-\U0001faff☀-➿️‍]|\([^()\x01]*\))+(?=\x01|\Z)")
+_BLANK = re.compile(r"[^\S \n]")  # white space other than a blank and a line end
 
 
 def clean(text: str | None) -> str:
@@ -146,7 +148,10 @@ def without_tail(text: str) -> str:
 
 
 def says_nothing(answer: str | None) -> bool:
-    t = clean(answer)
+    return _nothing(clean(answer))
+
+
+def _nothing(t: str) -> bool:
     return not any(map(str.isalnum, t)) or (len(t) < 40 and bool(PLACEHOLDER.fullmatch(t)))
 
 
@@ -170,13 +175,23 @@ class Echo:
     """How much of a text stands in another one, by letter sequences; a label in front does not count."""
 
     def __init__(self, whole: str):
-        self.letters, self.words = _letters(whole), set(words_of(whole))
-        self.n = 2 if _IDEOGRAPH.search(self.letters) else 5
-        self.have = _grams(self.letters, self.n)
+        self.whole, self.words = whole, set(words_of(whole))
+
+    @cached_property
+    def letters(self) -> str:
+        return _letters(self.whole)
+
+    @cached_property
+    def n(self) -> int:
+        return 2 if _IDEOGRAPH.search(self.whole) else 5
+
+    @cached_property
+    def have(self) -> set[str]:
+        return _grams(self.letters, self.n)
 
     def near(self, words: list[str]) -> bool:
         """Whether a clause can be an echo at all: a third of its words stand there, or it has words of unusual length."""
-        return 3 * sum(w in self.words for w in words) >= len(words) or max(map(len, words), default=0) > 24
+        return 3 * sum(map(self.words.__contains__, words)) >= len(words) or max(map(len, words), default=0) > 24
 
     def share(self, part: str) -> float:
         best = 0.0
@@ -198,10 +213,9 @@ class Languages:
 
     @staticmethod
     def script(words: list[str]) -> str | None:
-        signs = sum("㐀" <= w[0] <= "鿿" for w in words)
-        cyrillic = sum("Ѐ" <= w[0] <= "ӿ" for w in words)
-        n = sum(w[0].isalpha() for w in words)
-        return "zh" if signs * 3 > n else "ru" if cyrillic * 2 > n else None
+        firsts = "".join(map(itemgetter(0), words))
+        n = len(firsts) - len(_NO_LETTER.findall(firsts))
+        return "zh" if len(_IDEOGRAPH.findall(firsts)) * 3 > n else "ru" if len(_CYRILLIC.findall(firsts)) * 2 > n else None
 
     def learn(self, counts: Iterable[tuple[str, tuple[int, ...]]], total: tuple[int, ...]) -> None:
         """From (word or ~ending, its counts by language) and the counts of all words."""
@@ -215,6 +229,14 @@ class Languages:
         votes = [x for x in map(self.likely.get, words) if x]
         return bool(votes) and 10 * votes.count(lang) >= 9 * len(votes)
 
+    def best(self, words: list[str], ascii_only: bool) -> str | None:
+        """The likeliest language."""
+        votes = [x for x in map(self.likely.get, words) if x] if ascii_only else ()
+        if votes and 10 * votes.count(votes[0]) >= 9 * len(votes):
+            return votes[0]
+        scores = self.scores(words, ascii_only)
+        return max(scores, key=scores.get) if scores else None
+
     def scores(self, words: list[str], ascii_only: bool = False) -> dict[str, float]:
         """Log score of each language; a language of another script is out of the question."""
         if not ascii_only and (one := self.script(words)):
@@ -289,10 +311,15 @@ class Counts:
     @staticmethod
     def flat(texts: list[str]) -> tuple[list[str], np.ndarray]:
         """(different tokens, their numbers in the joined texts); each text is closed by a token of its own."""
-        joined = "\x01".join(t.replace("\x01", " ").replace("\x02", " ") for t in texts)
+        joined = "\x01".join(texts)
+        if joined.count("\x01") >= len(texts) or "\x02" in joined:  # a text holds one of the signs
+            joined = "\x01".join(t.replace("\x01", " ").replace("\x02", " ") for t in texts)
         joined = _MARKUP.sub(" ", joined) if "<" in joined else joined
         joined = joined if joined.isascii() else _HIDDEN.sub("", joined)
-        joined = _CLAUSE.sub("\x02", _TAIL.sub("", joined.casefold()))
+        joined = _BLANK.sub(" ", joined) if _BLANK.search(joined) else joined
+        joined = joined.casefold().replace("\n", "\x02")
+        for stop in _STOP:
+            joined = joined.replace(f"{stop} " if stop in ".!?" else stop, f"{stop}\x02")
         found = pa.array([*_FLAT.findall(joined), "\x01"]).dictionary_encode()
         return found.dictionary.to_pylist(), found.indices.to_numpy()
 
@@ -340,7 +367,8 @@ class Counts:
             at, place, last, h, rest = at[ok], place[ok], last[ok], h[ok], h[ok]
             h = longer_context(h, hashes[at + 2 - n])
             if n == 1:
-                self.names.update(zip(h.view(np.int64).tolist(), (names[c] for c in codes[at].tolist()), strict=True))
+                first = np.unique(codes[at], return_index=True)[1]
+                self.names.update(zip(h[first].view(np.int64).tolist(), (names[c] for c in codes[at[first]].tolist()), strict=True))
             self._add(h, rest, np.ones(len(h), np.int64), last.astype(np.int64))
 
     def _add(self, h: np.ndarray, rest: np.ndarray, n: np.ndarray, ended: np.ndarray) -> None:
@@ -360,7 +388,7 @@ class Counts:
     def count(self, questions: list[str], answers: list[str]) -> None:
         if answers:
             self.languages(*self.flat(questions))
-            told = self.flat(answers)
+            told = self.flat([a if a[-1].isalnum() or a[-1] in _STOP else without_tail(clean(a)) for a in answers])
             self.languages(*told)
             self.contexts(*told)
 
@@ -371,16 +399,23 @@ class Counts:
         """All that was counted, as rows of SCHEMA; starts anew."""
         none = tuple(np.empty(0, np.uint64) for _ in range(4))
         h, rest, n, ended = self._sums(*(np.concatenate(c) for c in zip(*self.parts, strict=True))) if self.parts else none
-        keys = h.view(np.int64).tolist()
         known: dict[str, list[int]] = defaultdict(lambda: [0] * len(SMALL_WORDS))
         for (w, lang), c in self.langs.items():
             known[w][lang] += c
-        m, zero = len(known), [0] * len(keys)
+        m = len(known)
+        words = np.full(len(h) + m, None, dtype=object)
+        words[np.searchsorted(h, np.array([*self.names], dtype=np.int64).view(np.uint64))] = [*self.names.values()]
+        words[len(h) :] = [*known]
+        numbers = np.zeros((len(SMALL_WORDS), len(h) + m), dtype=np.int64)
+        numbers[0, : len(h)], numbers[1, : len(h)] = n, ended
+        numbers[:, len(h) :] = np.array([*known.values()], dtype=np.int64).reshape(m, len(SMALL_WORDS)).T
+        gone = np.arange(len(h) + m) >= len(h)
+        pad = np.zeros(m, np.int64)
         columns = [
-            pa.array([*keys, *[None] * m], pa.int64()),
-            pa.array([*rest.view(np.int64).tolist(), *[None] * m], pa.int64()),
-            pa.array([*map(self.names.get, keys), *known], pa.string()),
-            *(pa.array([*own, *(c[i] for c in known.values())], pa.int64()) for i, own in enumerate([n.tolist(), ended.tolist(), *[zero] * (len(SMALL_WORDS) - 2)])),
+            pa.array(np.concatenate([h.view(np.int64), pad]), mask=gone),
+            pa.array(np.concatenate([rest.view(np.int64), pad]), mask=gone),
+            pa.array(words, pa.string()),
+            *map(pa.array, numbers),
         ]
         self.__init__()
         return pa.RecordBatch.from_arrays(columns, names=[c.split()[0] for c in SCHEMA.split(", ")])
@@ -440,6 +475,7 @@ class Field:
         self.prior = prior_weights()
         self.w, self.t = self.prior.copy(), np.zeros((len(TAGS), len(TAGS)))
         self.lexis: dict[str, float] = {}
+        self.pairs: dict[str, dict[str, float]] = {}
         self._tags: dict[tuple, list[int]] = {}
 
     @staticmethod
@@ -448,8 +484,11 @@ class Field:
 
     def said(self, words: list[str]) -> float:
         """How much the words speak for a refusal."""
-        get = self.lexis.get
-        return sum(get(t, 0.0) for t in words) + sum(get(f"{a} {b}", 0.0) for a, b in zip(words, words[1:], strict=False) if a in self.lexis)
+        total, before = sum(map(self.lexis.get, words, repeat(0.0))), (none := {})
+        for w in words:
+            total += before.get(w, 0.0)
+            before = self.pairs.get(w, none)
+        return total
 
     def fit(self, seen: list[Seen], ys: list[list[int]], steps: int = 80, rate: float = 0.5, decay: float = 1e-3, lexical_decay: float = 2e-4, rare: float = 4.0) -> None:
         """Maximum a posteriori by AdaGrad, all sequences of one length at a time (forward-backward in log space).
@@ -501,7 +540,13 @@ class Field:
             self.w -= rate * gw / np.sqrt(gw2)
             self.t -= rate * gt / np.sqrt(gt2)
             lex -= 2 * rate * gl / np.sqrt(gl2 + 1e-9)
-        self.lexis = {t: round(float(lex[i]), 4) for t, i in number.items() if abs(lex[i]) >= 0.02}
+        self.lexis, self.pairs = {}, {}
+        for t, x in ((t, float(lex[i])) for t, i in number.items() if abs(lex[i]) >= 0.02):
+            a, pair, b = t.partition(" ")
+            if pair:
+                self.pairs.setdefault(a, {})[b] = x
+            else:
+                self.lexis[a] = x
         self._tags.clear()
 
     def tag(self, seen: Seen) -> list[int]:
@@ -553,8 +598,8 @@ class Tagger:
             if len(self.known) >= KEPT:
                 self.known.clear()
             told = clean(question)
-            scores = self.languages.scores(words_of(told))
-            self.known[key] = max(scores, key=scores.get) if scores else None, requested_language(question), Echo(f"{told} {clean(instruction)}")
+            lang = self.languages.best(words_of(told), told.isascii())
+            self.known[key] = lang, requested_language(question), Echo(f"{told} {clean(instruction)}")
         return self.known[key]
 
     def _share(self, words: list[str]) -> int:
@@ -567,6 +612,8 @@ class Tagger:
 
     def ending(self, text: str, cs: list[str], words: list[list[str]]) -> int:
         """Features of how a response ends."""
+        if text[-1] in _STOP and text[-3:] != "..." and (len(cs) == 1 or not _NUMBERED.fullmatch(cs[-1])):
+            return _BIT["ends stop"]
         body = without_tail(text)
         if not body:
             return _BIT["ends sign"]
@@ -595,6 +642,7 @@ class Tagger:
         return begun | _BIT["ends plain"] | (_BIT["unknown word"] if few and short == 1 else self._share(last))
 
     def see(self, question: str, instruction: str, answer: str) -> Seen:
+        """What the field sees of a pair; a cleaned answer stays as it is."""
         text = clean(answer)
         cs = clauses(text)
         words = [_TOKEN.findall(c) for c in map(str.casefold, cs)]
@@ -701,7 +749,8 @@ class Tagger:
 
     def defect(self, question: str | None, instruction: str | None, answer: str | None) -> str | None:
         """The pair's defect, or None: clause tags weighed by the letters they cover."""
-        if says_nothing(answer):
+        answer = clean(answer)
+        if _nothing(answer):
             return "empty"
         seen = self.see(question or "", instruction or "", answer)
         tags = self.crf.tag(seen)
@@ -711,7 +760,7 @@ class Tagger:
         covered = [weight[[t == k for t in tags]].sum() / max(weight.sum(), 1) for k in range(len(TAGS))]
         if covered[1] >= REFUSAL_COVER and covered[0] <= 1 - REFUSAL_COVER:
             return "refusal"
-        if covered[2] > 0 and covered[2] + covered[4] >= 0.95 and Echo(clean(answer)).share(clean(question)) >= 0.9:
+        if covered[2] > 0 and covered[2] + covered[4] >= 0.95 and Echo(answer).share(clean(question)) >= 0.9:
             return "copy"
         if tags[-1] == 4:
             return "truncated"
