@@ -8,13 +8,16 @@ index the item fingerprints: two fingerprints within three bits agree in at leas
 within the radius is missed.  Each candidate is then aligned exactly and its stretch weighed: words of an
 introductory phrase that several items share count nothing.
 
-The documents are read once, without a shuffle.  The item index is sent to the workers in blocks of a
-bounded number of items; a larger item set makes more blocks, never a larger broadcast.
+The documents are read once per block of items, without a shuffle.  The items go to the workers in blocks
+of a bounded number of items; a larger item set makes more blocks, taken one after the other, never a
+larger broadcast, and the driver holds one block at a time.  Candidates are looked up for a bounded number
+of windows at once, however long a document is.
 """
 
 from __future__ import annotations
 
 import hashlib
+import itertools
 import re
 import unicodedata as ud
 import uuid
@@ -29,6 +32,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..runtime import materialize
 from .lookalikes import Classes, look_alike_classes
 
 #: Words of a stretch that counts; ideographic characters of one.
@@ -36,7 +40,7 @@ MIN_WORDS, MIN_SIGNS = 12, 24
 #: Changed words stand at least so many words apart.
 APART = 8
 #: Window length in words, and in signs for text of ideographs.
-WORDS, SIGNS = 6, 10
+WORDS, SIGNS = 6, 7
 #: Hamming radius of the fingerprints; RADIUS + 1 blocks guarantee it.
 RADIUS, BLOCKS = 3, 4
 #: A changed ideographic word has at most so many signs, on either side.
@@ -45,8 +49,8 @@ SIGN_GAP = 4
 OWN_WORDS = 6
 #: Items that open with the same words share an introduction if so many of them differ after it.
 SHARED = 3
-#: Items of one index block, documents of one slice, windows of one fingerprint pass.
-ITEM_BLOCK, SLICE, PASS = 20_000, 1000, 200_000
+#: Items of one index block, words of one slice of documents, windows of one fingerprint pass, candidates of one look-up.
+ITEM_BLOCK, SLICE, PASS, CANDIDATES = 20_000, 100_000, 200_000, 4_000_000
 
 _SIGN = "㐀-䶿一-鿿"
 _UNITS = re.compile(f"[{_SIGN}]|[^\\W_{_SIGN}]+")
@@ -123,16 +127,20 @@ class Index:
         return (prints >> np.uint64(16 * b) & np.uint64(0xFFFF)).astype(np.int64)
 
     def near(self, prints: np.ndarray) -> np.ndarray:
-        """(query position, index position) of all pairs within the radius, each once."""
-        found = []
+        """(query position, index position) of all pairs within the radius, each once; CANDIDATES of them are looked at at a time."""
+        found = [np.empty((2, 0), np.int64)]
         for b, (order, ends) in enumerate(self.blocks):
             key = self._key(prints, b)
             first, n = ends[key], ends[key + 1] - ends[key]
-            query = np.repeat(np.arange(len(prints)), n)
-            step = np.arange(len(query)) - np.repeat(np.cumsum(n) - n, n)
-            hit = order[np.repeat(first, n) + step]
-            close = np.bitwise_count(prints[query] ^ self.prints[hit]) <= RADIUS
-            found.append(np.stack([query[close], hit[close]]))
+            total = np.cumsum(n)
+            cuts = np.searchsorted(total, np.arange(0, total[-1] if len(total) else 0, CANDIDATES), side="right")
+            for lo, hi in itertools.pairwise([*np.unique(cuts).tolist(), len(prints)]):
+                m = n[lo:hi]
+                query = np.repeat(np.arange(lo, hi), m)
+                step = np.arange(len(query)) - np.repeat(np.cumsum(m) - m, m)
+                hit = order[np.repeat(first[lo:hi], m) + step]
+                close = np.bitwise_count(prints[query] ^ self.prints[hit]) <= RADIUS
+                found.append(np.stack([query[close], hit[close]]))
         return np.unique(np.concatenate(found, axis=1), axis=1)
 
 
@@ -196,17 +204,17 @@ def align(doc: list, item: list, i: int, j: int, intro: int, signs: bool, size:
 class Items:
     """One block of items, ready to be searched for in documents."""
 
-    def __init__(self, rows: list[tuple[int, str | None]], intros: dict[int, int]):
-        self.ids, self.units, self.signs, self.size = [], [], [], []
-        for item, text in rows:
+    def __init__(self, rows: list[tuple[int, str | None]], intros: list[int] | None = None):
+        self.ids, self.units, self.signs, self.size, self.intro = [], [], [], [], []
+        for (item, text), intro in zip(rows, intros or [0] * len(rows), strict=True):
             u = units(text or "")
             if u:
+                self.intro.append(intro)
                 signs = sum(1 for x in u if _IS_SIGN.match(x)) * 2 > len(u)
                 self.ids.append(item)
                 self.units.append(u)
                 self.signs.append(signs)
                 self.size.append([len(x) if signs else 1 for x in u])
-        self.intro = [intros.get(i, 0) for i in self.ids]
         hashed = [[unit_hash(x) for x in u] for u in self.units]
         self.index = {}
         for window, want in ((WORDS, False), (SIGNS, True)):
@@ -273,38 +281,33 @@ def _opening_hashes(u: list[str]) -> Iterator[int]:
         yield int.from_bytes(h, "little", signed=True)
 
 
-def shared_openings(asked: DataFrame) -> set[int]:
-    """Hashes of the openings after which SHARED or more different item texts part.
+def introductions(asked: DataFrame) -> DataFrame:
+    """(item, text, intro): units of each item's longest shared opening that introduces it, over all items.
 
-    Taken over all items; equal texts count once.  The driver sees fewer openings than there are texts.
+    An opening is shared if SHARED or more different item texts part after it; equal texts count once.  It
+    introduces an item if it is no longer than what follows it: a longer one is a passage that several items ask
+    about, and counts.  Null texts have no introduction.
     """
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for at in range(0, b.num_rows, SLICE):
-                opening, then, text = [], [], []
-                for t in b.slice(at, SLICE).column(0).to_pylist():
+            for at in range(0, b.num_rows, 1000):
+                opening, then, text, place, half = [], [], [], [], []
+                for t in b.slice(at, 1000).column(0).to_pylist():
                     h = list(_opening_hashes(u := units(t or "")))
                     opening += h
                     then += [*u[1:], ""] if u else []
-                    text += h[-1:] * len(h)
-                yield pa.RecordBatch.from_arrays([pa.array(opening, pa.int64()), pa.array(then, pa.string()), pa.array(text, pa.int64())], names=["opening", "then", "text"])
+                    text += [t] * len(h)
+                    place += range(1, len(h) + 1)
+                    half += [len(h) // 2] * len(h)
+                columns = [pa.array(opening, pa.int64()), pa.array(then, pa.string()), pa.array(text, pa.string()), pa.array(place, pa.int32()), pa.array(half, pa.int32())]
+                yield pa.RecordBatch.from_arrays(columns, names=["opening", "then", "text", "place", "half"])
 
-    rows = asked.select("words").mapInArrow(cut, "opening bigint, then string, text bigint").distinct()
-    parted = rows.groupBy("opening").agg(F.count(F.lit(1)).alias("texts"), F.count_distinct("then").alias("ways"))
-    return {r["opening"] for r in parted.filter((F.col("texts") >= SHARED) & (F.col("ways") > 1)).select("opening").collect()}
-
-
-def introductions(rows: list[tuple[int, str | None]], openings: set[int]) -> dict[int, int]:
-    """Units of each item's longest shared opening that introduces it, which is no longer than what follows it.
-
-    A longer one is a passage that several items ask about, and counts.
-    """
-    out = {}
-    for i, t in rows:
-        u = units(t or "")
-        out[i] = max((n for n, h in enumerate(_opening_hashes(u), 1) if 2 * n <= len(u) and h in openings), default=0)
-    return out
+    texts = asked.select(F.col("words").alias("text")).filter("text is not null").distinct()
+    rows = materialize(texts.mapInArrow(cut, "opening bigint, then string, text string, place int, half int").withColumn("whole", F.xxhash64("text")).drop("text"), "openings")
+    parted = rows.groupBy("opening").agg(F.count_distinct("whole").alias("texts"), F.count_distinct("then").alias("ways")).filter((F.col("texts") >= SHARED) & (F.col("ways") > 1))
+    own = rows.filter("place <= half").join(parted.select("opening"), "opening", "left_semi").groupBy("whole").agg(F.max("place").alias("intro"))
+    return asked.withColumn("whole", F.xxhash64("words")).join(own, "whole", "left").select("item", "words", F.coalesce("intro", F.lit(0)).alias("intro"))
 
 
 OUT = "doc_id {kind}, item_id {item}, n_units int, whole boolean"
@@ -323,10 +326,14 @@ def find_leaks(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text:
     blocks = max(1, -(-asked.count() // item_block))
     named = docs.select(F.col(doc_id).alias("doc"), F.col(text).alias("words")).filter(F.col("words").isNotNull())
     schema = OUT.format(kind=dict(named.dtypes)["doc"], item=dict(asked.dtypes)["item"])
-    openings, out = shared_openings(asked), None
+    told = materialize(introductions(asked), "items")
+    out = None
     for b in range(blocks):
-        rows = [(r["item"], r["words"]) for r in asked.filter(F.pmod(F.xxhash64("item"), F.lit(blocks)) == b).collect()]
-        found = _scan(named, rows, introductions(rows, openings), schema)
+        rows = told.filter(F.pmod(F.xxhash64("item", "words"), F.lit(blocks)) == b).collect()  # about item_block of them
+        found, sent = _scan(named, [(r["item"], r["words"]) for r in rows], [r["intro"] for r in rows], schema)
+        if blocks > 1:  # done with a block before the next one is fetched
+            found = materialize(found, "leaks")
+            sent.destroy()
         out = found if out is None else out.unionByName(found)
     return out
 
@@ -342,7 +349,19 @@ def _worker_block(number: int, sent: Broadcast) -> Items:
     return _blocks[number]
 
 
-def _scan(named: DataFrame, rows: list[tuple[int, str | None]], intros: dict[int, int], schema: str) -> DataFrame:
+def slices(texts: list[list[str]]) -> Iterator[tuple[int, int]]:
+    """Runs of texts of about SLICE words together; a longer text is a run of its own."""
+    start = held = 0
+    for i, u in enumerate(texts):
+        if held and held + len(u) > SLICE:
+            yield start, i
+            start, held = i, 0
+        held += len(u)
+    if start < len(texts):
+        yield start, len(texts)
+
+
+def _scan(named: DataFrame, rows: list[tuple[int, str | None]], intros: list[int], schema: str) -> tuple[DataFrame, Broadcast]:
     """One block of items against all documents; a worker builds the block's index once."""
     sent = named.sparkSession.sparkContext.broadcast((rows, intros))
     names = [c.split()[0] for c in schema.split(", ")]
@@ -351,13 +370,13 @@ def _scan(named: DataFrame, rows: list[tuple[int, str | None]], intros: dict[int
     def scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = _worker_block(number, sent)
         for b in batches:
-            for at in range(0, b.num_rows, SLICE):
-                part = b.slice(at, SLICE)
-                cases = list(block.search([units(t) for t in part.column(1).to_pylist()]))
+            texts = [units(t) for t in b.column(1).to_pylist()]
+            for start, end in slices(texts):
+                cases = list(block.search(texts[start:end]))
                 if cases:
                     yield pa.RecordBatch.from_arrays(
                         [
-                            part.column(0).take(pa.array([d for d, _, _ in cases])),
+                            b.column(0).take(pa.array([start + d for d, _, _ in cases])),
                             pa.array([block.ids[k] for _, k, _ in cases]),
                             pa.array([s.last - s.first for _, _, s in cases], pa.int32()),
                             pa.array([s.last - s.first == len(block.units[k]) for _, k, s in cases], pa.bool_()),
@@ -365,4 +384,4 @@ def _scan(named: DataFrame, rows: list[tuple[int, str | None]], intros: dict[int
                         names=names,
                     )
 
-    return named.mapInArrow(scan, schema)
+    return named.mapInArrow(scan, schema), sent

@@ -480,11 +480,11 @@ def test_every_allowed_change_is_found(data):
     words = WORDS[start : start + n]
     for k in range(first, n - 1, leaks.APART):
         words[k] = f"changed{k}"
-    block = leaks.Items([(1, " ".join(WORDS))], {})
+    block = leaks.Items([(1, " ".join(WORDS))])
     assert len(list(block.search([["before", *words, "after"]]))) == 1
 
 
-def test_blocks_find_all_within_the_radius():
+def test_blocks_find_all_within_the_radius(monkeypatch):
     rng = np.random.default_rng(1)
     index = leaks.Index.__new__(leaks.Index)
     index.prints = rng.integers(0, 2**63, 400, dtype=np.uint64)
@@ -496,8 +496,36 @@ def test_blocks_find_all_within_the_radius():
     query = index.prints[rng.integers(0, 400, 300)].copy()
     for _ in range(4):
         query ^= np.uint64(1) << rng.integers(0, 64, 300).astype(np.uint64)
-    brute = {(i, j) for i, q in enumerate(query) for j, p in enumerate(index.prints) if int(q ^ p).bit_count() <= leaks.RADIUS}
-    assert set(map(tuple, index.near(query).T.tolist())) == brute
+    for bound in (7, leaks.CANDIDATES):
+        monkeypatch.setattr(leaks, "CANDIDATES", bound)
+        assert set(map(tuple, index.near(query).T.tolist())) == _within(index, query)
+    assert index.near(query[:0]).shape == (2, 0)
+
+
+def _within(index, query):
+    return {(i, j) for i, q in enumerate(query) for j, p in enumerate(index.prints) if int(q ^ p).bit_count() <= leaks.RADIUS}
+
+
+def test_why_windows_are_not_as_long_as_items():
+    """A changed word moves a twelve-word fingerprint beyond any radius that blocks can serve, and leaves a six-word window beside it alone."""
+    rng = np.random.default_rng(4)
+    far, near = [], []
+    for _ in range(300):
+        words = rng.integers(0, 2**63, 24, dtype=np.uint64)
+        changed = words.copy()
+        changed[[5, 14]] = rng.integers(0, 2**63, 2, dtype=np.uint64)
+        for window, out in ((12, far), (6, near)):
+            apart = np.bitwise_count(leaks.simhashes(words, window) ^ leaks.simhashes(changed, window))
+            out.append(int(apart[:13].min()) if window == 12 else int(apart.min()))
+    assert np.median(far) > 2 * leaks.RADIUS and max(near) == 0
+
+
+def test_slices_hold_bounded_words(monkeypatch):
+    monkeypatch.setattr(leaks, "SLICE", 10)
+    texts = [["a"] * n for n in (3, 3, 3, 3, 0, 25, 1, 9)]
+    got = list(leaks.slices(texts))
+    assert [i for a, b in got for i in range(a, b)] == list(range(8)) and got == [(0, 3), (3, 5), (5, 6), (6, 8)]
+    assert list(leaks.slices([])) == []
 
 
 # ---- 9: look-alikes ---------------------------------------------------------------------------------------------
