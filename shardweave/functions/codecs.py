@@ -13,6 +13,7 @@ import io
 import json
 import pickle
 import struct
+import zlib
 from collections.abc import Callable
 from fnmatch import fnmatch
 
@@ -22,7 +23,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from . import cbor, tenbin
+from . import cbor, msgpack, tenbin
 
 # Extensions by kind of content.
 TEXT = ("txt", "text", "transcript", "html", "htm")
@@ -80,8 +81,7 @@ def decode_pnm(data: bytes) -> np.ndarray:
     return a.reshape((h, w) if c == 1 else (h, w, c))
 
 
-def encode_pnm(a: np.ndarray) -> bytes:
-    """An image as PGM or PPM; floats must lie in [-0.001, 1.001] and are scaled by 255."""
+def _bytes_image(a: np.ndarray) -> np.ndarray:
     a = np.asarray(a)
     if a.dtype.kind == "f":
         if a.size and not (a.min() >= -0.001 and a.max() <= 1.001):
@@ -89,12 +89,98 @@ def encode_pnm(a: np.ndarray) -> bytes:
         a = (np.clip(a, 0, 1) * 255).astype(np.uint8)
     if a.ndim == 3 and a.shape[2] == 1:
         a = a[..., 0]
-    if a.dtype != np.uint8 or a.ndim not in (2, 3) or (a.ndim == 3 and a.shape[2] != 3):
+    if a.dtype != np.uint8 or a.ndim not in (2, 3) or (a.ndim == 3 and a.shape[2] not in (3, 4)):
+        raise ValueError("the array is no grey or colour image")
+    return a
+
+
+def encode_pnm(a: np.ndarray) -> bytes:
+    """An image as PGM or PPM; floats must lie in [-0.001, 1.001] and are scaled by 255."""
+    a = _bytes_image(a)
+    if a.ndim == 3 and a.shape[2] != 3:
         raise ValueError("the array is no grey or colour image")
     magic = b"P5" if a.ndim == 2 else b"P6"
     return magic + f"\n{a.shape[1]} {a.shape[0]}\n255\n".encode() + np.ascontiguousarray(a).tobytes()
 
 
+_PNG = b"\x89PNG\r\n\x1a\n"
+# Samples per pixel of PNG colour types.
+_PNG_SAMPLES = {0: 1, 2: 3, 3: 1, 4: 2, 6: 4}
+
+
+def encode_png(a: np.ndarray) -> bytes:
+    """A grey, colour or colour-and-alpha image (uint8, or floats in [0, 1]) as PNG."""
+    a = _bytes_image(a)
+    h, w, c = (*a.shape, 1) if a.ndim == 2 else a.shape
+    colour = {1: 0, 3: 2, 4: 6}[c]
+    raw = np.concatenate([np.zeros((h, 1), np.uint8), a.reshape(h, w * c)], axis=1).tobytes()
+
+    def chunk(kind: bytes, data: bytes) -> bytes:
+        return struct.pack(">I", len(data)) + kind + data + struct.pack(">I", zlib.crc32(kind + data))
+
+    return _PNG + chunk(b"IHDR", struct.pack(">IIBBBBB", w, h, 8, colour, 0, 0, 0)) + chunk(b"IDAT", zlib.compress(raw)) + chunk(b"IEND", b"")
+
+
+def decode_png(data: bytes) -> np.ndarray:
+    """8-bit PNG that is not interlaced: grey, colour, palette, each with alpha or without (alpha is kept)."""
+    if data[:8] != _PNG:
+        raise ValueError("this is no PNG")
+    at, body, palette, head = 8, b"", None, None
+    while at < len(data):
+        n, kind = struct.unpack(">I4s", data[at : at + 8])
+        part = data[at + 8 : at + 8 + n]
+        if kind == b"IHDR":
+            head = struct.unpack(">IIBBBBB", part)
+        elif kind == b"PLTE":
+            palette = np.frombuffer(part, np.uint8).reshape(-1, 3)
+        elif kind == b"IDAT":
+            body += part
+        at += 12 + n
+    if head is None or head[2] != 8 or head[6] or head[3] not in _PNG_SAMPLES:
+        raise ValueError("only 8-bit PNG without interlacing is decoded here")
+    w, h, c = head[0], head[1], _PNG_SAMPLES[head[3]]
+    rows = np.frombuffer(zlib.decompress(body), np.uint8).reshape(h, 1 + w * c)
+    out, above = np.empty((h, w * c), np.uint8), np.zeros(w * c, np.int64)
+    for y in range(h):
+        above = out[y] = _unfilter(int(rows[y, 0]), rows[y, 1:].astype(np.int64), above, c)
+        above = above.astype(np.int64)
+    a = out.reshape(h, w, c)
+    if palette is not None and head[3] == 3:
+        return palette[a[..., 0]]
+    return a[..., 0] if c == 1 else np.concatenate([np.repeat(a[..., :1], 3, axis=2), a[..., 1:]], axis=2) if c == 2 else a
+
+
+def _unfilter(kind: int, line: np.ndarray, above: np.ndarray, c: int) -> np.ndarray:
+    if kind == 0:
+        return line.astype(np.uint8)
+    if kind == 1:
+        return (np.cumsum(line.reshape(-1, c), axis=0) & 255).astype(np.uint8).ravel()
+    if kind == 2:
+        return ((line + above) & 255).astype(np.uint8)
+    out = line.tolist()
+    up = above.tolist()
+    for i, x in enumerate(out):
+        left, corner = (out[i - c], up[i - c]) if i >= c else (0, 0)
+        if kind == 3:
+            guess = (left + up[i]) // 2
+        else:
+            p = left + up[i] - corner
+            far = abs(p - left), abs(p - up[i]), abs(p - corner)
+            guess = left if far[0] <= far[1] and far[0] <= far[2] else up[i] if far[1] <= far[2] else corner
+        out[i] = (x + guess) & 255
+    return np.array(out, np.uint8)
+
+
+def decode_bmp(data: bytes) -> np.ndarray:
+    """Uncompressed BMP of 24 or 32 bits, as colour."""
+    start, w, h, bits, packed = struct.unpack("<I", data[10:14])[0], *struct.unpack("<ii", data[18:26]), *struct.unpack("<HI", data[28:34])
+    if data[:2] != b"BM" or bits not in (24, 32) or packed not in (0, 3):
+        raise ValueError("only uncompressed BMP of 24 or 32 bits is decoded here")
+    stride = (w * bits // 8 + 3) // 4 * 4
+    rows = np.frombuffer(data, np.uint8, stride * abs(h), start).reshape(abs(h), stride)[:, : w * bits // 8].reshape(abs(h), w, bits // 8)
+    return np.ascontiguousarray((rows[::-1] if h > 0 else rows)[..., 2::-1])
+
+
 def image_array(a: np.ndarray, spec: str) -> np.ndarray:
     """A decoded image by spec: colour l, rgb or rgba; with 8 bytes, without floats in [0, 1]; torch: channels first."""
     lib = "torch" if spec.startswith("torch") else "pil" if spec.startswith("pil") else ""
@@ -131,10 +217,18 @@ def image_size(data: bytes) -> tuple[int, int] | None:
     return None
 
 
+Handler = Callable[[str, bytes], object]
+
+
 class Codecs:
-    """Decoders by extension or pattern; the one registered last wins.  ``unsafe`` allows pickles."""
+    """Decoders by extension or pattern; the one registered last wins.  ``unsafe`` allows pickles.
+
+    ``pre`` and ``post`` are handlers (name, data) that come before and after the registry, the first that gives
+    something but None wins; with ``only`` other fields stay as they are.
+    """
 
-    def __init__(self, unsafe: bool = False):
+    def __init__(self, unsafe: bool = False, pre: list[Handler] | None = None, post: list[Handler] | None = None, only: list[str] | None = None):
+        self.pre, self.post, self.only = list(pre or ()), list(post or ()), None if only is None else set(only)
         self.decoders: list[tuple[str, Callable[[bytes], object]]] = []
         for exts, f in (
             (TEXT, lambda b: b.decode("utf-8")),
@@ -146,8 +240,10 @@ class Codecs:
             (("npz",), decode_npz),
             (("cbor",), cbor.loads),
             (("ppm", "pgm", "pnm"), decode_pnm),
+            (("png",), decode_png),
+            (("bmp",), decode_bmp),
             (("pth",), missing("torch")),
-            (MSGPACK, missing("msgpack")),
+            (MSGPACK, msgpack.loads),
             (VIDEO, missing("a video decoder")),
             (AUDIO, missing("an audio decoder")),
         ):
@@ -168,15 +264,21 @@ class Codecs:
 
         Unknown extensions stay bytes, or are an error with ``must_decode``; data that is no bytes stays as it is.
         """
-        if not isinstance(data, bytes | bytearray) or data is None:
+        if not isinstance(data, bytes | bytearray) or data is None or (self.only is not None and name not in self.only):
             return data
         data = bytes(data)
         if name.startswith("__"):
             return data.decode("utf-8")
+        for h in self.pre:
+            if (got := h(name, data)) is not None:
+                return got
         while name.lower().endswith(".gz"):
             data, name = gzip.decompress(data), name[:-3]
         f = self.find(name)
         if f is None:
+            for h in self.post:
+                if (got := h(name, data)) is not None:
+                    return got
             if must_decode:
                 raise ValueError(f"no decoder for {name}")
             return data
@@ -212,6 +314,10 @@ class Codecs:
             return cbor.dumps(value)
         if k in ("ppm", "pgm", "pnm"):
             return encode_pnm(value)
+        if k == "png":
+            return encode_png(value)
+        if k in MSGPACK:
+            return msgpack.dumps(value)
         raise ValueError(f"no handler found for {name}")
 
 
@@ -284,3 +390,9 @@ def literal_or_text(text: str) -> object:
         return text
 
 
+def encoded(value: Column, kind: str) -> Column:
+    """A column of Spark type ``kind`` as the bytes of a field: text as UTF-8, numbers in digits, structures as JSON, bytes as they are."""
+    if kind == "binary":
+        return value
+    nested = kind.startswith(("array", "map", "struct"))
+    return F.encode(F.to_json(value) if nested else value.cast("string"), "UTF-8")

@@ -104,12 +104,15 @@ def frame_questions(text: Column) -> Column:
     return F.when(whole, F.struct(F.concat(asked, F.array(F.lit("Summary this video."))).alias("questions"), answers.alias("answers")))
 
 
+# The media tags of each kind of sample that stand for an image.
+MEDIA_TAGS = {"kf": ("<Iimage>", "<Pimage>"), "un": (IMAGE,), "merlin-s": ()}
+
+
 def expand_image_tokens(text: Column, kind: str = "un") -> Column:
     """Media tags of a text in token space, by sample kind: 'kf' key frames, 'un' images, 'merlin-s' unchanged."""
-    tags = {"kf": ("<Iimage>", "<Pimage>"), "un": (IMAGE,), "merlin-s": ()}
-    if kind not in tags:
+    if kind not in MEDIA_TAGS:
         raise ValueError(f"unknown sample kind {kind!r}")
-    for t in tags[kind]:
+    for t in MEDIA_TAGS[kind]:
         text = F.replace(text, F.lit(t), F.lit(IMAGE_BLOCK))
     return text
 
@@ -122,13 +125,15 @@ def image_tags(text: Column, tags: tuple[str, ...] = (IMAGE,)) -> Column:
     return n
 
 
-def human_image_tags(turns: Column) -> Column:
-    return F.aggregate(F.filter(turns, lambda t: t["from"] == "human"), F.lit(0), lambda n, t: n + image_tags(t["value"]))
+def human_image_tags(turns: Column, kind: str = "un") -> Column:
+    """Images that the human turns stand for, by the tags of a sample kind."""
+    return F.aggregate(F.filter(turns, lambda t: t["from"] == "human"), F.lit(0), lambda n, t: n + image_tags(t["value"], MEDIA_TAGS[kind] or (IMAGE,)))
 
 
-def expand_turns(turns: Column) -> Column:
-    """Image tags of the human turns in token space, other turns unchanged."""
-    return F.transform(turns, lambda t: turn(t["from"], F.when(t["from"] == "human", expand_image_tokens(t["value"])).otherwise(t["value"])))
+def expand_turns(turns: Column, kind: str = "un") -> Column:
+    """Image tags of the human turns in token space, other turns unchanged; turns of merlin-s follow the rule of 'un'."""
+    rule = kind if MEDIA_TAGS[kind] else "un"
+    return F.transform(turns, lambda t: turn(t["from"], F.when(t["from"] == "human", expand_image_tokens(t["value"], rule)).otherwise(t["value"])))
 
 
 def render(turns: Column) -> Column:

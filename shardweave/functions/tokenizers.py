@@ -11,6 +11,7 @@ import math
 import re
 from dataclasses import dataclass
 from functools import cached_property, lru_cache
+from typing import Protocol, runtime_checkable
 
 import pyarrow as pa
 from pyspark.sql import Column
@@ -51,6 +52,15 @@ def split_special_col(text: Column, special: list[str]) -> Column:
     return F.coalesce(F.regexp_extract_all(text, F.lit(f"(?s)({alt}|(?:(?!{alt}).)+)"), 1), F.array().cast("array<string>"))
 
 
+@runtime_checkable
+class Tokenizer(Protocol):
+    """What the jobs need of a tokenizer: ids of a text, and of each text of a list."""
+
+    def ids(self, text: Column) -> Column: ...
+
+    def ids_of_list(self, texts: Column) -> Column: ...
+
+
 WORD_SPECIAL = (("<unk>", 0), ("<s>", BOS), ("</s>", EOS), ("<im_patch>", IM_PATCH), ("<im_start>", IM_START), ("<im_end>", IM_END))
 
 
@@ -73,6 +83,9 @@ class WordTokenizer:
     def ids(self, text: Column) -> Column:
         return F.transform(self.words(text), self.id_of)
 
+    def ids_of_list(self, texts: Column) -> Column:
+        return F.transform(texts, self.ids)
+
 
 @lru_cache(maxsize=8)
 def _pieces(path: str):
@@ -117,6 +130,22 @@ class PieceTokenizer:
     unk = property(lambda self: _pieces(self.model).unk_id())
     pad = cls = sep = mask = unk
 
+    # None where the policy has no such token
+    im_patch_token_id = property(lambda self: self.special.get("<im_patch>"))
+    im_start_token_id = property(lambda self: self.special.get("<im_start>"))
+    im_end_token_id = property(lambda self: self.special.get("<im_end>"))
+    dream_token_id = property(lambda self: self.special.get("<dream>"))
+    dream_start_token_id = property(lambda self: self.special.get("<dream_start>"))
+    dream_end_token_id = property(lambda self: self.special.get("<dream_end>"))
+    bot_token_id = property(lambda self: self.special.get("<|BOT|>"))
+    eot_token_id = property(lambda self: self.special.get("<|EOT|>"))
+    call_start_token_id = property(lambda self: self.special.get("<|CALL_START|>"))
+    call_end_token_id = property(lambda self: self.special.get("<|CALL_END|>"))
+    think_start_token_id = property(lambda self: self.special.get("<|THINK_START|>"))
+    think_end_token_id = property(lambda self: self.special.get("<|THINK_END|>"))
+    img_start_token_id = property(lambda self: self.special.get("<|IMG_START|>"))
+    img_end_token_id = property(lambda self: self.special.get("<|IMG_END|>"))
+
     def token_id(self, token: str) -> int:
         """Id of a special token; unknown ones are an error."""
         return self.special[token]
@@ -154,6 +183,16 @@ class PieceTokenizer:
 
         return encode(text)
 
+    def ids_of_list(self, texts: Column) -> Column:
+        """Ids of each text of ARRAY<STRING>; a null text has none."""
+        me = self
+
+        @F.arrow_udf(T.ArrayType(T.ArrayType(T.IntegerType())))
+        def encode(lists: pa.Array) -> pa.Array:
+            return pa.array([None if x is None else [me.tokenize(t) for t in x] for x in lists.to_pylist()], pa.list_(pa.list_(pa.int32())))
+
+        return encode(texts)
+
     def text(self, ids: Column) -> Column:
         me = self
 
@@ -164,15 +203,24 @@ class PieceTokenizer:
         return decode(ids)
 
 
-def conversation_ids(turns: Column, tokenizer: WordTokenizer | PieceTokenizer) -> Column:
-    """ARRAY<STRUCT<ids, mask>> parts: the opening id, then each turn; 0 masks human and system turns.
+def make_tokenizer(name: str) -> Tokenizer:
+    """'word', or POLICY:PATH of a sentence-piece model, e.g. ``control:/models/pieces.model``."""
+    if name == "word":
+        return WordTokenizer()
+    policy, colon, path = name.partition(":")
+    if not colon or policy not in ("appended", "control", "chat"):
+        raise ValueError(f"{name!r} is neither word nor POLICY:PATH with appended, control or chat")
+    return PieceTokenizer(path, policy)
+
+
+def conversation_ids(turns: Column, tokenizer: Tokenizer) -> Column:
+    """ARRAY<STRUCT<ids, mask>> parts, one per turn; 0 masks human and system turns, an answering turn ends with ``</s>``.
 
-    Line ends between turns are not tokenized.  Expressions over arrays of turns cannot call Python functions,
-    so this form serves the JVM-side tokenizer; see :func:`turn_rows` for the others.
+    Line ends between turns are not tokenized.
     """
     value = lambda t: F.concat(F.coalesce(t["value"], F.lit("")), F.when(t["from"] == "gpt", "</s>").otherwise(""))
-    parts = F.transform(turns, lambda t: F.struct(tokenizer.ids(value(t)).alias("ids"), t["from"].isin("human", "system").alias("silent")))
-    return F.transform(parts, lambda p: F.struct(p["ids"].alias("ids"), F.array_repeat(F.when(p["silent"], 0).otherwise(1), F.size(p["ids"])).alias("mask")))
+    silent = lambda t: F.when(t["from"].isin("human", "system"), 0).otherwise(1)
+    return F.zip_with(turns, tokenizer.ids_of_list(F.transform(turns, value)), lambda t, ids: F.struct(ids.alias("ids"), F.array_repeat(silent(t), F.size(ids)).alias("mask")))
 
 
 def input_ids(parts: Column) -> Column:

@@ -8,8 +8,12 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: Schemes that name a remote object in a ``pipe:`` command.
+# Fixed value: schemes that name a remote object in a ``pipe:`` command.
 REMOTE = r"^(https?|gs|ais|s3):"
+# Fixed value: a member's path and name up to the first dot of the file name, and all that follows it.
+MEMBER = r"^((?:.*/|)[^.]+)[.]([^/]*)$"
+# Fixed value: characters of a cached shard's folder that become ``_``.
+CACHE_CHARS = "[:/|;]"
 # Fixed value: environment prefix of ``${NAME}`` in shard lists.
 ENV_PREFIX = "WDS_"
 _RANGE = re.compile(r"(-?\d+)\.\.(-?\d+)(?:\.\.(-?\d+))?|([A-Za-z])\.\.([A-Za-z])")
@@ -128,7 +132,7 @@ def pipe_cleaner(url: Column) -> Column:
 def cache_path(url: Column, cache_dir: str) -> Column:
     """Where a cached copy lies: the URL's directory with ``: / | ;`` as ``_``, then its file name."""
     path = F.regexp_replace(F.regexp_replace(pipe_cleaner(url), r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", ""), r"[?#;].*$", "")
-    folder = F.regexp_replace(F.regexp_replace(F.regexp_extract(path, r"^(.*)/[^/]*$", 1), "^/+", ""), "[:/|;]", "_")
+    folder = F.regexp_replace(F.regexp_replace(F.regexp_extract(path, r"^(.*)/[^/]*$", 1), "^/+", ""), CACHE_CHARS, "_")
     name = F.regexp_extract(path, r"([^/]*)$", 1)
     return F.concat(F.lit(f"{cache_dir.rstrip('/')}/"), F.when(F.length(folder) > 0, F.concat(folder, F.lit("/"))).otherwise(""), name)
 
@@ -156,13 +160,13 @@ def file_type(head: Column) -> Column:
 
 def member_base(name: Column) -> Column:
     """Path and name up to the first dot of the file name; null if there is no extension."""
-    got = F.regexp_extract(name, r"^((?:.*/|)[^.]+)[.]([^/]*)$", 1)
+    got = F.regexp_extract(name, MEMBER, 1)
     return F.when(F.length(got) > 0, got)
 
 
 def member_ext(name: Column, lower: bool = True) -> Column:
     """Everything after the first dot of the file name, lower-cased; null where :func:`member_base` is null."""
-    got = F.regexp_extract(name, r"^((?:.*/|)[^.]+)[.]([^/]*)$", 2)
+    got = F.regexp_extract(name, MEMBER, 2)
     return F.when(member_base(name).isNotNull(), F.lower(got) if lower else got)
 
 

@@ -6,9 +6,14 @@ range shuffle plus per-partition offsets, so no task ever sorts more than one ra
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import _parse_datatype_string
 
 from ..runtime import materialize
 
@@ -106,6 +111,30 @@ def batched(df: DataFrame, size: int, partial: bool = True, by: list[str] | None
     return out.select(*keys, "batch", *[_column("__rows__", c).alias(c) for c in cols])
 
 
+def collated(df: DataFrame, size: int, collate: Callable[[dict[str, list]], dict], schema: str, pos: str = POS) -> DataFrame:
+    """(batch, ...) one row per ``size`` consecutive rows, made by ``collate`` from the batch's columns (name -> list in order).
+
+    ``schema``: the columns that ``collate`` returns, as a Spark schema string.  A batch holds at most ``size`` rows.
+    """
+    rows = batched(df, size, pos=pos)
+    names = [c for c in rows.columns if c != "batch"]
+    out = pa.schema([("batch", pa.int64()), *((f.name, to_arrow_type(f.dataType)) for f in _parse_datatype_string(schema).fields)])
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            made = [{"batch": r["batch"], **collate({n: r[n] for n in names})} for r in b.to_pylist()]
+            if made:
+                yield pa.RecordBatch.from_pylist(made, out)
+
+    return rows.mapInArrow(run, f"batch bigint, {schema}")
+
+
+def guess_batchsize(df: DataFrame, column: str | None = None) -> Column:
+    """Rows that a batch stands for: the length of its first array column."""
+    first = column or next(c for c, t in df.dtypes if t.startswith("array"))
+    return F.greatest(F.size(first), F.lit(0))
+
+
 def listed(df: DataFrame, size: int, by: list[str] | None = None, pos: str = POS) -> DataFrame:
     """Like :func:`batched`, but the rows stay together as an array of structs (``items``)."""
     keys, cols = by or [], [c for c in df.columns if c not in (by or []) and c != pos]

@@ -76,6 +76,53 @@ def pack_groups(df: DataFrame, group: str, order: str, length: str, capacity: in
     return ready.mapInArrow(fold, schema)
 
 
+MERGED = "bin int, n_samples int, input_ids array<int>, loss_mask array<int>, text array<string>, closed_by string, images array<binary>"
+
+
+def merge_groups(df: DataFrame, group: str, order: list[str], key: str = "key", capacity: int = CAPACITY, keep_tail: bool = False) -> DataFrame:
+    """One row per bin of each group, in the rule of :func:`pack_groups`: (group, bin, n_samples, input_ids, loss_mask, text, closed_by, images).
+
+    ``df``: (group, order, key, input_ids, loss_mask, text, images).  The sequences of a bin are joined in the fold,
+    the opening id of all but the first left out, so the samples are shuffled once and a task holds one open bin.
+    ``closed_by`` is the key of the sample that did not fit any more, null for a tail.
+    """
+    take = [group, key, "input_ids", "loss_mask", "text", "images"]
+    ready = df.repartition(group).sortWithinPartitions(group, *order).select(*take)
+    kind = dict(df.dtypes)[group]
+
+    def fold(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now: object = object()
+        bin_ = used = 0
+        held: list[tuple] = []
+
+        def out(closed_by: str | None) -> pa.RecordBatch:
+            ids, mask = ([x for i, s in enumerate(held) for x in (s[c] if i == 0 else s[c][1:])] for c in (0, 1))
+            row = {group: now, "bin": bin_, "n_samples": len(held), "input_ids": ids, "loss_mask": mask, "text": [s[2] for s in held], "closed_by": closed_by, "images": [x for s in held for x in s[3] or ()]}
+            return pa.RecordBatch.from_pylist([row], schema)
+
+        schema = None
+        for b in batches:
+            if schema is None:
+                rest = [("bin", pa.int32()), ("n_samples", pa.int32()), ("input_ids", pa.list_(pa.int32())), ("loss_mask", pa.list_(pa.int32())), ("text", pa.list_(pa.string())), ("closed_by", pa.string()), ("images", pa.list_(pa.binary()))]
+                schema = pa.schema([(group, b.column(0).type), *rest])
+            for g, name, *sample in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                if g != now:
+                    if held and keep_tail:
+                        yield out(None)
+                    now, bin_, used, held = g, 0, 0, []
+                size = len(sample[0] or ())
+                if used + size > capacity and held:
+                    yield out(name)
+                    bin_, used, held = bin_ + 1, 0, []
+                if size < capacity:
+                    held.append(tuple(sample))
+                    used += size
+        if held and keep_tail:
+            yield out(None)
+
+    return ready.mapInArrow(fold, f"`{group}` {kind}, {MERGED}")
+
+
 def fold_bins(lengths: Column, capacity: int = CAPACITY) -> Column:
     """The same as one expression over an ordered ARRAY<INT>: bins, -1 - bin where dropped (for groups that fit a row)."""
     start = F.struct(F.lit(0).alias("bin"), F.lit(0).alias("used"), F.lit(0).alias("n"), F.array().cast("array<int>").alias("out"))

@@ -55,3 +55,12 @@ def review_sample(df: DataFrame, key: Column, share: float = 0.01, seed: int = 0
     from .sampling import rsample
 
     return rsample(df, share, key, seed)
+
+
+def review_lines(df: DataFrame, tokenizer: object, share: float = 0.01, seed: int = 0) -> DataFrame:
+    """One JSON line per reviewed sample: url, key, its text, and its ids (all, and those that are not masked) as text where the tokenizer can tell."""
+    rows = review_sample(df, F.concat_ws("/", "url", "key"), share, seed)
+    trained = F.transform(F.filter(F.arrays_zip("input_ids", "loss_mask"), lambda p: p["loss_mask"] == 1), lambda p: p["input_ids"])
+    told = tokenizer.text if hasattr(tokenizer, "text") else lambda ids: F.array_join(ids, " ")
+    rows = rows.withColumn("__trained__", trained)
+    return rows.select(F.to_json(F.struct("url", "key", "text", told(F.col("input_ids")).alias("all"), told(F.col("__trained__")).alias("trained"))).alias("value"))

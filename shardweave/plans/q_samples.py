@@ -10,7 +10,7 @@ from ..operators import errors, fields, order, quality, sampling, sharding
 from ..operators.order import POS
 from ..operators.samples import group_members
 from ..runtime import scratch_path
-from ..sources.tarshards import read_shards, write_shards
+from ..sources.tarshards import read_samples, write_shards
 from .q_tokens import read
 
 
@@ -303,9 +303,9 @@ def tenbin_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
 
 def tar_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     d = read(spark, sf, "documents").filter("text is not null").select(F.format_string("docs-%02d.tar", F.col("doc_id") % 4).alias("shard"), F.format_string("%09d", "doc_id").alias("key"), F.create_map(F.lit("txt"), F.encode("text", "UTF-8")).alias("fields"))
-    path = scratch_path(spark, "tars").removeprefix("file://")
+    path = scratch_path(spark, "tars")
     write_shards(d, path)
-    back = group_members(read_shards(spark, path))
+    back = read_samples(spark, path)
     return back.select(F.col("key").cast("bigint").alias("doc_id"), codecs.text_field(F.col("fields")["txt"]).alias("text"))
 
 

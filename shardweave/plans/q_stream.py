@@ -7,10 +7,11 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..operators import packing
+from ..operators.sampling import portable_hash
 from ..runtime import hadoop_fs
 from ..streaming import events as ev
 from ..streaming.packer import stream_bins
-from ..streaming.run import ordered_source, run_to_table
+from ..streaming.run import arrival_source, ordered_source, run_to_table
 from .q_tokens import PACK_SQL, read
 
 
@@ -21,18 +22,28 @@ def _stream(spark: SparkSession, sf: str, table: str, plan, mode: str = "append"
     return run_to_table(spark, path if folder else sf, read(spark, sf, table).schema, plan, mode, glob=None if folder else f"{table}.parquet")
 
 
+#: Micro-batches of the event stream; every twentieth event arrives a week late.
+BATCHES, LATE_DAYS = 6, 7
+
+
+def _late_stream(spark: SparkSession, sf: str, plan) -> DataFrame:
+    """Events in the order they arrive, one file a micro-batch, in append mode: what comes after its window is closed is left out."""
+    e = read(spark, sf, "events")
+    late = F.when(portable_hash(F.col("event_id")) % 20 == 0, F.expr(f"INTERVAL {LATE_DAYS} DAYS")).otherwise(F.expr("INTERVAL 0 DAYS"))
+    source = arrival_source(e.withColumn("arrival", F.col("ts") + late), ["arrival", "event_id"], BATCHES)
+    return run_to_table(spark, source, spark.read.parquet(source).schema, plan, "append", 1)
+
+
 def stream_tumbling(spark: SparkSession, sf: str) -> DataFrame:
-    out = _stream(spark, sf, "events", lambda s: ev.tumbling(s, "1 hour"), "complete")
-    return out.select("window_start", "key", "n", F.round("total", 4).alias("total"))
+    return _late_stream(spark, sf, lambda s: ev.tumbling(s, "1 hour")).select("window_start", "key", "n", F.round("total", 4).alias("total"))
 
 
 def stream_sliding(spark: SparkSession, sf: str) -> DataFrame:
-    out = _stream(spark, sf, "events", lambda s: ev.sliding(s, "1 hour", "30 minutes"), "complete")
-    return out.select("window_start", "key", "n", F.round("total", 4).alias("total"))
+    return _late_stream(spark, sf, lambda s: ev.sliding(s, "1 hour", "30 minutes")).select("window_start", "key", "n", F.round("total", 4).alias("total"))
 
 
 def stream_sessions(spark: SparkSession, sf: str) -> DataFrame:
-    return ev.sessions(read(spark, sf, "events"), "30 minutes")
+    return _late_stream(spark, sf, lambda s: ev.sessions(s, "30 minutes"))
 
 
 def stream_first_seen(spark: SparkSession, sf: str) -> DataFrame:
@@ -93,15 +104,28 @@ def bins_per_group(spark: SparkSession, sf: str) -> DataFrame:
 
 _ALL = (stream_tumbling, stream_sliding, stream_sessions, stream_first_seen, stream_packer, star_revenue, semi_anti, cube_counts, latest_per_user, top_parts, set_operations, as_of_orders, bins_per_group)
 QUERIES = {f.__name__: f for f in _ALL}
+# k: events with the watermark that decides whether they are late, which is that of the batch before (so two batches behind); z: the last watermark.
+_ARRIVALS = f"""
+WITH a AS (SELECT *, ts + CASE WHEN CAST('0x' || substr(md5(CAST(event_id AS VARCHAR)), 1, 8) AS BIGINT) % 20 = 0 THEN INTERVAL {LATE_DAYS} DAY ELSE INTERVAL 0 DAY END AS arrival FROM events),
+b AS (SELECT *, (row_number() OVER (ORDER BY arrival, event_id) - 1) // (SELECT CAST(ceil(count(*) / {BATCHES}.0) AS BIGINT) FROM events) AS batch FROM a),
+c AS (SELECT batch, max(ts) AS top FROM b GROUP BY batch),
+m AS (SELECT batch, max(top) OVER (ORDER BY batch ROWS BETWEEN UNBOUNDED PRECEDING AND 2 PRECEDING) - INTERVAL 10 MINUTE AS mark FROM c),
+k AS (SELECT b.*, m.mark FROM b JOIN m USING (batch)),
+z AS (SELECT max(ts) - INTERVAL 10 MINUTE AS last FROM events)
+"""
 ORACLES = {
-    "stream_tumbling": "SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start, event_type AS key, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY 1, 2",
-    "stream_sliding": """
-      WITH w AS (SELECT time_bucket(INTERVAL 30 MINUTE, ts) - k * INTERVAL 30 MINUTE AS window_start, event_type, value FROM events, (SELECT unnest(range(0, 2)) AS k))
-      SELECT window_start, event_type AS key, count(*) AS n, round(sum(value), 4) AS total FROM w GROUP BY 1, 2""",
-    "stream_sessions": """
-      WITH e AS (SELECT user_id, ts, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) < INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS new FROM events),
-      s AS (SELECT user_id, ts, sum(new) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS k FROM e)
-      SELECT min(ts) AS session_start, max(ts) + INTERVAL 30 MINUTE AS session_end, user_id, count(*) AS n FROM s GROUP BY user_id, k""",
+    "stream_tumbling": _ARRIVALS
+    + """, w AS (SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start, event_type, value, mark FROM k)
+      SELECT window_start, event_type AS key, count(*) AS n, round(sum(value), 4) AS total FROM w, z
+      WHERE (mark IS NULL OR window_start + INTERVAL 1 HOUR > mark) AND window_start + INTERVAL 1 HOUR <= last GROUP BY 1, 2""",
+    "stream_sliding": _ARRIVALS
+    + """, w AS (SELECT time_bucket(INTERVAL 30 MINUTE, ts) - i * INTERVAL 30 MINUTE AS window_start, event_type, value, mark FROM k, (SELECT unnest(range(0, 2)) AS i))
+      SELECT window_start, event_type AS key, count(*) AS n, round(sum(value), 4) AS total FROM w, z
+      WHERE (mark IS NULL OR window_start + INTERVAL 1 HOUR > mark) AND window_start + INTERVAL 1 HOUR <= last GROUP BY 1, 2""",
+    "stream_sessions": _ARRIVALS
+    + """, e AS (SELECT user_id, ts, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) < INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS new FROM k WHERE mark IS NULL OR ts + INTERVAL 30 MINUTE > mark),
+      s AS (SELECT user_id, ts, sum(new) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS g FROM e)
+      SELECT min(ts) AS session_start, max(ts) + INTERVAL 30 MINUTE AS session_end, user_id, count(*) AS n FROM s, z GROUP BY user_id, g, last HAVING max(ts) + INTERVAL 30 MINUTE <= last""",
     "stream_first_seen": "SELECT event_type, count(DISTINCT event_id) AS n FROM events GROUP BY event_type",
     "stream_packer": PACK_SQL
     + """SELECT source AS grp, bin, count(*) AS n_samples, CAST(sum(n) AS BIGINT) AS n_tokens FROM f WHERE n < 8000 AND source IS NOT NULL

@@ -4,15 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import _parse_datatype_string
 
-from ..functions.codecs import Codecs
+from ..functions.codecs import Codecs, encoded
 from ..operators import errors, fields, order, sampling
-from ..operators.samples import group_members, valid_samples
+from ..operators.samples import valid_samples
+from ..operators.sharding import shards_by_size
 from ..runtime import materialize
-from ..sources.tarshards import read_shards, write_shards
+from ..sources.tarshards import read_samples, write_shards
 
 Step = Callable[[DataFrame], DataFrame]
 
@@ -27,6 +31,28 @@ def pipeline(df: DataFrame, *steps: Step | list | None) -> DataFrame:
     return df
 
 
+class Pipeline:
+    """Steps from frame to frame, to be named and reused; immutable, so parts can be shared."""
+
+    def __init__(self, *steps: Step | list | Pipeline | None):
+        flat = [x for s in steps for x in (s.steps if isinstance(s, Pipeline) else s if isinstance(s, list | tuple) else [s])]
+        self.steps: tuple[Step, ...] = tuple(s for s in flat if s is not None)
+
+    def append(self, *steps: Step | list | Pipeline | None) -> Pipeline:
+        return Pipeline(self, *steps)
+
+    compose = append
+
+    def stage(self, i: int) -> Step:
+        return self.steps[i]
+
+    def __len__(self) -> int:
+        return len(self.steps)
+
+    def __call__(self, df: DataFrame) -> DataFrame:
+        return pipeline(df, *self.steps)
+
+
 class Samples:
     """(url, run, key, seq, fields) or any frame derived from it; each method returns a new object."""
 
@@ -36,7 +62,7 @@ class Samples:
     @classmethod
     def from_shards(cls, spark: SparkSession, path: str, on_error: str = "fail", shuffle_shards: int | None = None, suffixes: list[str] | None = None, **options: object) -> Samples:
         """Samples of tar shards; ``shuffle_shards`` is a seed for the order of shards, else they are in name order."""
-        got = group_members(read_shards(spark, path, on_error=on_error if on_error in ("fail", "skip", "stop") else "skip", **options), suffixes, on_error="fail" if on_error == "fail" else "skip")
+        got = read_samples(spark, path, suffixes, on_error="fail" if on_error == "fail" else "skip", **options)
         shard = F.col("url") if shuffle_shards is None else sampling.shuffle_order(F.col("url"), shuffle_shards)
         return cls(order.pos_overall(valid_samples(got).withColumn("__shard__", shard), "__shard__", "url", "seq").drop("__shard__"))
 
@@ -78,15 +104,30 @@ class Samples:
         return self.then(lambda d: d.withColumn(name, value(F.try_element_at(F.col(source), F.lit(name)))))
 
     def decode(self, name: str, kind: str, codecs: Codecs | None = None, source: str = "fields", partial: bool = True) -> Samples:
-        """A column decoded by the registry in Python, cast to the Spark type ``kind`` (for what the JVM can't decode)."""
-        own = codecs or Codecs()
+        """A column decoded by the registry in Python, as the Spark type ``kind`` (for what the JVM can't decode).
+
+        Values come in Arrow batches; arrays of numbers (images, tensors) may be given as nested lists.
+        """
+        own, arrow = codecs or Codecs(), to_arrow_type(_parse_datatype_string(kind))
 
-        @F.udf(kind, useArrow=True)
-        def run(data: bytes | None) -> object:
-            return None if data is None else own.decode(name, data, must_decode=not partial)
+        @F.arrow_udf(kind)
+        def run(data: pa.Array) -> pa.Array:
+            got = [None if b is None else own.decode(name, b, must_decode=not partial) for b in data.to_pylist()]
+            return pa.array([x.tolist() if hasattr(x, "tolist") else x for x in got], arrow)
 
         return self.then(lambda d: d.withColumn(name, run(F.try_element_at(F.col(source), F.lit(name)))))
 
+    def encode(self, *columns: str, source: str = "fields") -> Samples:
+        """Typed columns as fields of the same names, ready to be written: text as UTF-8, numbers as digits, structures as JSON."""
+
+        def step(d: DataFrame) -> DataFrame:
+            kinds = dict(d.dtypes)
+            pairs = [x for c in columns for x in (F.lit(c), encoded(F.col(c), kinds[c]))]
+            kept = F.map_filter(F.col(source), lambda k, _: ~k.isin(*columns)) if source in d.columns else F.create_map().cast("map<string,binary>")
+            return d.withColumn(source, F.map_concat(kept, F.create_map(*pairs)))
+
+        return self.then(step)
+
     def slice(self, start: int, stop: int | None = None, step: int = 1) -> Samples:
         return self.then(lambda d: order.slice_rows(d, start, stop, step))
 
@@ -108,6 +149,9 @@ class Samples:
     def batched(self, size: int = 20, partial: bool = True) -> Samples:
         return self.then(lambda d: order.batched(d, size, partial))
 
+    def collated(self, size: int, collate: Callable[[dict], dict], schema: str) -> Samples:
+        return self.then(lambda d: order.collated(d, size, collate, schema))
+
     def unbatched(self, *columns: str) -> Samples:
         return self.then(lambda d: order.unbatched(d, list(columns)))
 
@@ -159,7 +203,18 @@ class Samples:
         """Rows in order, fetched partition by partition (for a training loop on the driver)."""
         return self.df.orderBy(order.POS).toLocalIterator(prefetchPartitions=True)
 
-    def write(self, path: str, per_shard: int = 1000, **options: object) -> None:
-        """Tar shards of ``per_shard`` samples, in order."""
-        df = self.df.withColumn("shard", F.format_string("shard-%06d.tar", F.floor(F.col(order.POS) / per_shard).cast("bigint")))
-        write_shards(df.select("shard", order.POS, "key", "fields"), path, order.POS, **options)
+    def write(self, path: str, per_shard: int = 1000, max_bytes: int | None = None, first: int = 0, post: Callable[[str], None] | None = None, **options: object) -> list[str]:
+        """Tar shards of ``per_shard`` samples, in order, from number ``first`` on; ``post`` is called with each shard once all are there.
+
+        With ``max_bytes`` a shard also ends before the sample at which it holds so many bytes.  That rule is
+        sequential, so it runs in groups of 100 shards' samples, and the names carry the group's number too.
+        """
+        df = self.df
+        if max_bytes is None:
+            shard = F.format_string("shard-%06d.tar", (F.floor(F.col(order.POS) / per_shard) + first).cast("bigint"))
+        else:
+            size = F.aggregate(F.map_values("fields"), F.lit(0).cast("bigint"), lambda a, x: a + F.coalesce(F.length(x), F.lit(0)))
+            df = df.withColumns({"__size__": size, "__group__": F.floor(F.col(order.POS) / (100 * per_shard)).cast("bigint")})
+            df = shards_by_size(df.select(order.POS, "key", "fields", "__size__", "__group__"), "__size__", order.POS, max_bytes, "__group__", per_shard)
+            shard = F.format_string("shard-%06d-%06d.tar", F.col("__group__") + first, F.col("shard"))
+        return write_shards(df.withColumn("shard", shard).select("shard", order.POS, "key", "fields"), path, order.POS, post, **options)

@@ -41,13 +41,13 @@ def load_ego(spark: SparkSession, path: str, prefix: str = "") -> DataFrame:
     return load_captions(spark, path, prefix, "video_path")
 
 
-def load_control(spark: SparkSession, path: str, source_prefix: str = "", target_prefix: str = "") -> DataFrame:
+def load_control(spark: SparkSession, path: str, prefix: str = "", target_prefix: str | None = None) -> DataFrame:
     """JSON lines {source, prompt, control_...}: the target is the first field whose name holds ``control_``."""
     raw = spark.read.text(path).filter(F.length(F.trim("value")) > 0)
     got = raw.select(F.from_json("value", "map<string,string>").alias("m"))
     target = F.try_element_at(F.filter(F.map_entries("m"), lambda e: e["key"].contains("control_")), F.lit(1))["value"]
     rows = got.select(F.col("m")["source"].alias("source"), target.alias("target"), F.col("m")["prompt"].alias("value"))
-    return rows.select(_prefixed(source_prefix, "source").alias("source"), _prefixed(target_prefix, "target").alias("target"), "value")
+    return rows.select(_prefixed(prefix, "source").alias("source"), _prefixed(prefix if target_prefix is None else target_prefix, "target").alias("target"), "value")
 
 
 def load_clips(spark: SparkSession, path: str, prefix: str = "") -> DataFrame:
@@ -76,19 +76,25 @@ def load_chats(spark: SparkSession, path: str, prefix: str = "") -> DataFrame:
     return rows.select(_prefixed(prefix, "image").alias("video_path"), F.col("conversations").alias("value"))
 
 
-def load_interleaved(spark: SparkSession, path: str) -> DataFrame:
+def _each_prefixed(prefix: str, column: str):
+    return F.transform(column, lambda p: join_path(F.lit(prefix), p)) if prefix else F.col(column)
+
+
+def load_interleaved(spark: SparkSession, path: str, prefix: str = "") -> DataFrame:
     """JSON array of {image_info, text_list}."""
-    return _array(spark, path, "image_info array<string>, text_list string").select(F.col("image_info").alias("video_path"), F.col("text_list").alias("value"))
+    return _array(spark, path, "image_info array<string>, text_list string").select(_each_prefixed(prefix, "image_info").alias("video_path"), F.col("text_list").alias("value"))
 
 
-def load_multi(spark: SparkSession, path: str) -> DataFrame:
+def load_multi(spark: SparkSession, path: str, prefix: str = "") -> DataFrame:
     """JSON array of {images, conversations}."""
-    return _array(spark, path, f"images array<string>, conversations {TURNS}")
+    return _array(spark, path, f"images array<string>, conversations {TURNS}").select(_each_prefixed(prefix, "images").alias("images"), "conversations")
 
 
-def load_table(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
-    """Parquet, only the columns asked for."""
-    return spark.read.parquet(path).select(*columns)
+def load_table(spark: SparkSession, path: str, columns: list[str] | None = None, prefix: str = "") -> DataFrame:
+    """Parquet, only the columns asked for (all, if none are); the prefix is put before ``video_path``."""
+    rows = spark.read.parquet(path)
+    rows = rows.select(*columns) if columns else rows
+    return rows.withColumn("video_path", _prefixed(prefix, "video_path")) if prefix and "video_path" in rows.columns else rows
 
 
 def load_lines(spark: SparkSession, path: str, prefix: str = "") -> DataFrame:
@@ -111,8 +117,15 @@ ADAPTERS: dict[str, Callable[..., DataFrame]] = {
 }
 
 
+def get_prefix(prefixes: dict[str, str], dataset: str) -> str:
+    """Path prefix of a data set, empty for an unknown one."""
+    return prefixes.get(dataset, "")
+
+
 def load_manifest(spark: SparkSession, kind: str, path: str, **options: object) -> DataFrame:
-    """By adapter name; an unknown name is read as questions, the form of most fine-tuning manifests."""
+    """By adapter name; a path of a JSON file in place of a name is read as questions, any other name is an error."""
+    if kind not in ADAPTERS and not kind.endswith(".json"):
+        raise ValueError(f"{kind!r} is none of {sorted(ADAPTERS)}")
     return ADAPTERS.get(kind, load_questions)(spark, path, **options)
 
 

@@ -9,6 +9,7 @@ import os
 import re
 import shlex
 import subprocess
+import sys
 import tempfile
 import uuid
 from collections.abc import Callable
@@ -16,7 +17,7 @@ from typing import BinaryIO
 from urllib.parse import urlparse
 from urllib.request import urlopen
 
-from ..functions.urls import rewrite_url
+from ..functions.urls import CACHE_CHARS, rewrite_url
 
 Opener = Callable[[str, str], BinaryIO]
 #: Exit codes of a helper that stopped because its reader or writer did.
@@ -83,11 +84,33 @@ for _scheme in ("http", "https"):
     register_scheme(_scheme, _http)
 
 
+# Commands that write an object to their output or take it from their input, by scheme.
+COMMANDS = {
+    "s3": ("aws s3 cp {url} -", "aws s3 cp - {url}"),
+    "gs": ("gsutil cat {url}", "gsutil cp - {url}"),
+    "ais": ("ais get {url} -", "ais put - {url}"),
+    "htgs": ("curl -s -L {url}", None),
+    "sftp": ("curl -s {url}", "curl -s -T - {url}"),
+    "ftps": ("curl -s {url}", "curl -s -T - {url}"),
+    "scp": ("curl -s {url}", "curl -s -T - {url}"),
+}
+for _scheme, (_reads, _writes) in COMMANDS.items():
+    register_scheme(_scheme, command_opener(_reads, _writes))
+
+
+def routed(url: str) -> str:
+    """The URL through the cache named in USE_AIS_FOR (schemes, colon-separated): ``s3://x`` becomes ``ais://s3/x``."""
+    scheme, sep, rest = url.partition("://")
+    return f"ais://{scheme}/{rest}" if sep and scheme in os.environ.get("USE_AIS_FOR", "").split(":") else url
+
+
 def open_url(url: str, mode: str = "rb", allow_pipes: bool = False) -> BinaryIO:
     """Open a local path, ``file:`` URL, ``pipe:`` command (only if allowed) or a registered scheme."""
     if mode not in ("rb", "wb"):
         raise ValueError("shards are opened with rb or wb")
-    url = rewrite_url(url)
+    if url == "-":
+        return (sys.stdin if mode == "rb" else sys.stdout).buffer
+    url = routed(rewrite_url(url))
     if url.startswith("pipe:"):
         if not allow_pipes:
             raise PermissionError("pipes are off; allow them where commands can be trusted")
@@ -141,7 +164,7 @@ def cached(url: str, folder: str | None = None, limit: int = -1) -> str:
         return re.sub("^file:(//)?", "", url)
     folder = folder or os.path.join(tempfile.gettempdir(), "shard-cache")
     where, name = os.path.split(parsed.path)
-    to = os.path.join(folder, re.sub("[:/|;]", "_", where.lstrip("/")), name)
+    to = os.path.join(folder, re.sub(CACHE_CHARS, "_", where.lstrip("/")), name)
     if not os.path.exists(to):
         os.makedirs(os.path.dirname(to), exist_ok=True)
         if limit > 0:

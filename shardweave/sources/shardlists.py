@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,6 +36,25 @@ def simple_shards(spark: SparkSession, urls: str | list[str], seed: int | None =
     return spark.createDataFrame([(u, i) for i, u in enumerate(listed)], f"url string, {POS} bigint")
 
 
+@dataclass(frozen=True)
+class SourceSpec:
+    """One source of a multi-source spec: how many shards an epoch takes, with replacement (``resample``) or without (``perepoch``)."""
+
+    name: str
+    urls: list[str]
+    perepoch: int = -1
+    resample: int = -1
+
+
+def source_specs(spec: dict) -> list[SourceSpec]:
+    """The sources of a spec as typed values, their braces expanded."""
+    out = []
+    for d in spec["datasets"]:
+        listed = [d["shards"]] if isinstance(d["shards"], str) else d["shards"]
+        out.append(SourceSpec(d.get("name", ""), [u for s in listed for u in expand_urls(s)], d.get("choose", -1), d.get("resample", -1)))
+    return out
+
+
 def load_spec(path: str) -> dict:
     import yaml
 
@@ -56,3 +77,9 @@ def resampled_stream(spark: SparkSession, urls: str | list[str], rows_per_second
     n = F.array(*map(F.lit, listed))
     ticks = spark.readStream.format("rate").option("rowsPerSecond", rows_per_second).load()
     return ticks.select(F.col("value").alias("draw"), F.get(n, (portable_hash(seed, epoch, F.col("value")) % len(listed)).cast("int")).alias("url"))
+
+
+def find_files(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """(path) of all files of that very name below ``root``, sorted; listed by Spark, contents are not read."""
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", name).load(root)
+    return found.select("path").orderBy("path")

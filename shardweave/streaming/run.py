@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ..operators.order import POS, pos_overall
 from ..runtime import hadoop_fs, scratch_path
 
 #: Rows of one file of an ordered source.
@@ -25,6 +27,23 @@ def ordered_source(rows: DataFrame, order: str, file_rows: int = FILE_ROWS) -> s
     return path
 
 
+def arrival_source(rows: DataFrame, order: list[str], batches: int) -> str:
+    """A folder of at most ``batches`` files of equally many rows, in the order of arrival that ``order`` gives.
+
+    Read one file at a time, the files are the micro-batches of a stream.
+    """
+    spark = rows.sparkSession
+    path, placed = scratch_path(spark, "arrivals"), pos_overall(rows, *order)
+    size = max(1, -(-placed.count() // batches))
+    placed.withColumn("batch", F.floor(F.col(POS) / size).cast("int")).drop(POS).repartition("batch").write.partitionBy("batch").parquet(path)
+    fs, where = hadoop_fs(spark, path)
+    for folder in fs.listStatus(where):
+        name = folder.getPath().getName()
+        for part in fs.listStatus(folder.getPath()) if name.startswith("batch=") else ():
+            fs.setTimes(part.getPath(), 1_000_000_000_000 + 60_000 * int(name[6:]), -1)
+    return path
+
+
 def run_to_table(spark: SparkSession, source: str, schema: StructType, plan: Callable[[DataFrame], DataFrame], mode: str = "append", files: int = 4, glob: str | None = None) -> DataFrame:
     """Read Parquet files under ``source`` as a stream, write what ``plan`` emits and return the table.
 

@@ -14,11 +14,11 @@ from pyspark.sql import functions as F
 from shardweave.functions import cbor
 from shardweave.operators import compaction, errors, fields, order, packing, quality, samples, sampling, sharding, skew
 from shardweave.plans import jobs
-from shardweave.plans.samples import Samples, pipeline
+from shardweave.plans.samples import Pipeline, Samples, pipeline
 from shardweave.runtime import broadcast_checked, conf, scratch_path, shared_dir
 from shardweave.sources import manifests, openers, shardlists
 from shardweave.sources.cborseq import read_cbor
-from shardweave.sources.tarshards import list_shards, read_shards, write_shards
+from shardweave.sources.tarshards import ERROR, fold_members, list_shards, read_samples, read_shards, write_shards
 
 
 def numbered(spark, n=20, **more):
@@ -217,7 +217,9 @@ def test_tar_source(spark, tmp_path):
     (tmp_path / "c.tar").write_bytes(b"broken")
     whole = read_shards(spark, str(tmp_path), on_error="skip")
     assert whole.rdd.getNumPartitions() == 3
-    assert {r.fname for r in whole.collect()} == {*MEMBERS, "k.txt", "k.cls"} - {"__meta__/x.txt"}
+    assert {r.fname for r in whole.collect()} == {*MEMBERS, "k.txt", "k.cls", ERROR} - {"__meta__/x.txt"}
+    assert [(r.url, r.seq) for r in whole.filter(F.col("fname") == ERROR).collect()] == [(f"{tmp_path}/c.tar", -1)]
+    assert samples.group_members(whole).filter("key like '%error%'").count() == 0
     assert read_shards(spark, f"{tmp_path}/b.tgz", payload=False, match=r"\.txt$").collect()[0].data is None
     assert read_shards(spark, f"{tmp_path}/a.tar", rename="^0-=zero-").filter("fname like 'zero-%'").count() == 5
     with pytest.raises(Exception, match="c.tar"):
@@ -253,12 +255,48 @@ def test_shard_lists(spark, tmp_path):
 def test_tar_sink_round_trip(spark, tmp_path):
     rows = [(f"s-{i % 3}.tar{'.gz' if i % 3 == 2 else ''}", f"{i:04d}", {"txt": f"t{i}".encode(), "cls": b"1", "_hidden": b"x"}) for i in range(30)]
     df = spark.createDataFrame(rows, "shard string, key string, fields map<string,binary>").coalesce(1)
-    write_shards(df, str(tmp_path))
-    assert sorted(os.listdir(tmp_path)) == ["s-0.tar", "s-1.tar", "s-2.tar.gz"]
-    back = samples.group_members(read_shards(spark, str(tmp_path))).collect()
+    told = []
+    done = write_shards(df, str(tmp_path), post=told.append)
+    assert sorted(os.listdir(tmp_path)) == ["s-0.tar", "s-1.tar", "s-2.tar.gz"] and done == told == [f"{tmp_path}/{n}" for n in sorted(os.listdir(tmp_path))]
+    back = read_samples(spark, str(tmp_path))
+    assert "Exchange" not in back._jdf.queryExecution().toString()
+    back = back.collect()
     assert {r.key: bytes(r.fields["txt"]) for r in back} == {r[1]: r[2]["txt"] for r in rows} and all(set(r.fields) == {"txt", "cls"} for r in back)
 
 
+@pytest.mark.parametrize("options", [{}, {"interleave": False}, {"suffixes": ["json", "0.jpg", "txt"]}, {"lower": False}])
+def test_reader_folds_like_the_operator(spark, tmp_path, options):
+    tar(tmp_path / "a.tar", MEMBERS)
+    tar(tmp_path / "b.tar", ["x.JSON", "x-0.Jpg", "noext", "x-1.b/c.jpg", "d/x.json", "d/x-0.jpg", "d/x-1.jpg", "y.txt", "x.txt"])
+    plain = lambda df: sorted((r.url, r.run, r.key, r.seq, sorted(r.fields)) for r in df.collect())
+    assert plain(read_samples(spark, str(tmp_path), **options)) == plain(samples.group_members(read_shards(spark, str(tmp_path)), **options))
+
+
+def test_fields_that_come_twice(spark, tmp_path):
+    tar(tmp_path / "a.tar", ["a.txt", "a.txt", "a.cls", "b.txt"])
+    with pytest.raises(Exception, match="comes twice"):
+        read_samples(spark, str(tmp_path)).collect()
+    assert [(r.key, sorted(r.fields)) for r in read_samples(spark, str(tmp_path), on_error="skip").collect()] == [("a", ["cls", "txt"]), ("b", ["txt"])]
+    (tmp_path / "c.tar").write_bytes(b"broken")
+    got = read_samples(spark, str(tmp_path), on_error="skip")
+    assert got.filter(F.col("key") == ERROR).count() == 1 and samples.valid_samples(got).count() == 2
+    assert list(fold_members([])) == []
+
+
+def test_sink_refuses_folders_that_are_not_shared(tmp_path):
+    from pyspark.sql.types import BinaryType, StringType, StructType
+
+    from shardweave.sources.tarshards import TarWriter
+
+    kind = StructType().add("shard", StringType()).add("fname", StringType()).add("data", BinaryType())
+    writer = TarWriter({"path": str(tmp_path)}, kind)
+    os.rmdir(writer.staging)  # as on a machine that does not see the driver's folder
+    with pytest.raises(RuntimeError, match="not shared"):
+        writer.write(iter(()))
+    with pytest.raises(ValueError, match="missing"):
+        TarWriter({"path": str(tmp_path)}, StructType().add("shard", StringType()))
+
+
 def test_tar_stream(spark, tmp_path):
     (tmp_path / "in").mkdir()
     tar(tmp_path / "in" / "a.tar", ["x.txt"])
@@ -267,8 +305,11 @@ def test_tar_stream(spark, tmp_path):
     q.processAllAvailable()
     tar(tmp_path / "in" / "b.tar", ["y.txt"])
     q.processAllAvailable()
+    time.sleep(0.02)
+    tar(tmp_path / "in" / "0.tar", ["z.txt"])  # a smaller name than those seen
+    q.processAllAvailable()
     q.stop()
-    assert sorted(r.fname for r in spark.read.parquet(f"{tmp_path}/out").collect()) == ["x.txt", "y.txt"]
+    assert sorted(r.fname for r in spark.read.parquet(f"{tmp_path}/out").collect()) == ["x.txt", "y.txt", "z.txt"]
 
 
 def test_cbor_source(spark, tmp_path):
@@ -317,7 +358,10 @@ def test_manifests(spark, tmp_path):
     assert rows(manifests.load_control(spark, write("c.json", '{"source": "s", "prompt": "p", "control_x": "t"}\n'), "/s", "/t")) == [("/s/s", "/t/t", "p")]
     assert rows(manifests.load_clips(spark, write("d.json", '[{"clips": [{"clip_path": "a/b/c/d", "caption": "x"}, {"clip_path": "e", "caption": "y"}]}]'))) == [("b/c/d.mp4", "x"), ("e.mp4", "y")]
     assert rows(manifests.load_timed(spark, write("e.json", '{"YoutubeID": "i", "Start_timestamp": "1", "End_timestamp": "2", "Caption": "c"}'))) == [("i_1_2.mp4", "c")]
-    assert manifests.load_manifest(spark, "unknown", write("f.json", '[{"video": "v", "QA": [{"q": "a", "a": "b"}]}]')).first().value == [{"q": "a", "a": "b"}]
+    with pytest.raises(ValueError, match="none of"):
+        manifests.load_manifest(spark, "unknown", "x")
+    assert manifests.get_prefix({"a": "/p"}, "a") == "/p" and manifests.get_prefix({}, "b") == ""
+    assert manifests.load_manifest(spark, "questions", write("f.json", '[{"video": "v", "QA": [{"q": "a", "a": "b"}]}]')).first().value == [{"q": "a", "a": "b"}]
     assert manifests.load_chats(spark, write("g.json", '[{"image": "v", "conversations": [{"from": "human", "value": "b"}]}]')).first().value[0]["from"] == "human"
     assert manifests.load_interleaved(spark, write("h.json", '[{"image_info": ["v"], "text_list": "t"}]')).first().video_path == ["v"]
     assert manifests.load_multi(spark, write("i.json", '[{"images": ["v"], "conversations": []}]')).first().images == ["v"]
@@ -325,27 +369,6 @@ def test_manifests(spark, tmp_path):
     assert manifests.mock_rows(spark, 4, txt="x").count() == 4
 
 
-def test_jobs_chain(spark, tmp_path):
-    turns = [{"from": "human", "value": "<image>what is it"}, {"from": "gpt", "value": "a cat on a mat"}]
-    rows = [(i, [f"{i}-0"] if i % 5 else [], turns, "x") for i in range(40)]
-    df = spark.createDataFrame(rows, "i int, images array<string>, conversations array<struct<`from`:string,value:string>>, video_path string")
-    write_shards(jobs.pack(order.pos_overall(df, "i"), jobs.PackJob("merlin-s", jobs=2, per_tar=8), 40), f"{tmp_path}/a", "pos")
-    got = jobs.samples_of(spark, f"{tmp_path}/a")
-    assert got.count() == 40 and got.select("url").distinct().count() == 6
-    job = jobs.TokenizeJob(shard_size=2, capacity=600)
-    t = jobs.tokenize_samples(got, job, jobs.WordTokenizer())
-    assert t.count() == 32  # tags and images disagree in every fifth sample
-    packed = jobs.pack_tokens(t, job)
-    assert all(r.n_samples == 2 and len(r.input_ids) == len(r.loss_mask) for r in packed.collect())
-    write_shards(jobs.token_shards(packed), f"{tmp_path}/b", "pos")
-    bad, index = jobs.check(jobs.samples_of(spark, f"{tmp_path}/b"))
-    assert bad.count() == 0 and quality.index_totals(index).first().n_samples == packed.count()
-    for kind in jobs.KINDS:
-        jobs.sample_json(kind)
-    with pytest.raises(ValueError):
-        jobs.sample_json("other")
-
-
 def test_fluent(spark, tmp_path):
     tar(tmp_path / "a.tar", [f"{i:03d}.{e}" for i in range(12) for e in ("txt", "cls")])
     s = Samples.from_shards(spark, f"{tmp_path}/a.tar")
@@ -354,8 +377,17 @@ def test_fluent(spark, tmp_path):
     assert s.batched(5).df.count() == 3 and len(s.with_length(9)) == 9 and s.repeat(2).df.count() == 24
     assert s.decode("txt", "string").df.filter("txt is null").count() == 0
     assert s.stored().cached().select(F.col("key") < "003").df.count() == 3
-    s.write(f"{tmp_path}/out", 5)
-    assert len(os.listdir(f"{tmp_path}/out")) == 3
+    assert len(s.write(f"{tmp_path}/out", 5, first=3)) == 3
+    assert sorted(os.listdir(f"{tmp_path}/out")) == ["shard-000003.tar", "shard-000004.tar", "shard-000005.tar"]
+    sized = s.write(f"{tmp_path}/sized", 5, max_bytes=30)
+    assert len(sized) == 4 and sum(Samples.from_shards(spark, x).df.count() for x in sized) == 12
+    typed = s.then(lambda d: d.select("__pos__", "key", F.length("key").alias("n.cls"), F.array(F.lit(1)).alias("a.json"), F.col("key").alias("t.txt"), F.encode("key", "UTF-8").alias("b")).withColumnRenamed("n.cls", "cls").withColumnRenamed("a.json", "json").withColumnRenamed("t.txt", "txt"))
+    assert {k: bytes(v) for k, v in typed.encode("cls", "json", "txt", "b").df.filter("key = '004'").first().fields.items()} == {"cls": b"3", "json": b"[1]", "txt": b"004", "b": b"004"}
+    total = s.collated(5, lambda c: {"n": len(c["key"]), "keys": c["key"]}, "n int, keys array<string>").df
+    assert sorted((r.batch, r.n) for r in total.collect()) == [(0, 5), (1, 5), (2, 2)] and total.orderBy("batch").select(order.guess_batchsize(total)).first()[0] == 5
+    two = Pipeline(None, lambda d: d.limit(5)).append([lambda d: d.limit(3)], None).compose(lambda d: d.limit(2))
+    assert len(two) == 3 and two(s.df).count() == 2 and two.stage(0)(s.df).count() == 5
+    assert s.decode("txt", "string", codecs.Codecs(pre=[lambda n, b: "pre" if n == "txt" else None])).df.first().txt == "pre"
     assert pipeline(numbered(spark), None, [lambda d: d.limit(3), None]).count() == 3
     assert [r.key for r in s] == [f"{i:03d}" for i in range(12)]
     with pytest.raises(TypeError):
@@ -383,6 +415,20 @@ def test_consolidation(spark):
     assert none.records == 0 and compaction.read_compacted(spark, none).count() == 0
 
 
+def test_an_existing_table_is_kept_or_replaced(spark, tmp_path):
+    df = spark.createDataFrame([(1, FILES[0], "x"), (2, FILES[1], "x"), (3, FILES[5], "x")], "file_id int, content string, rec_key string")
+    path = f"{tmp_path}/table"
+    done = compaction.consolidate_files(df.filter("file_id = 1"), path)
+    assert (done.records, done.lines, done.damaged) == (2, 2, 0)
+    with pytest.raises(FileExistsError):
+        compaction.consolidate_files(df, path)
+    assert compaction.read_compacted(spark, done).count() == 2
+    done = compaction.consolidate_files(df, path, overwrite=True, damaged_path=f"{tmp_path}/damaged")
+    assert (done.records, done.lines, done.damaged) == (3, 8, 4) and sorted(os.listdir(tmp_path)) == ["damaged", "table"]
+    assert sorted(r.rec_key for r in compaction.read_compacted(spark, done).collect()) == ["a", "b", "e"]
+    assert spark.read.text(f"{tmp_path}/damaged").count() == 4 == compaction.damaged_lines(df).count()
+
+
 def test_nothing_is_committed_if_rows_differ(spark, monkeypatch):
     df = spark.range(5).select(F.col("id").cast("string").alias("rec_key"), F.lit("v").alias("video_path"), F.lit(None).cast("string").alias("value"))
     answers = iter([(4, None, None), (5, 1, 1)])
