@@ -39,8 +39,8 @@ def question_of(entries: Column) -> Column:
 
 
 def question_of_map(pair: Column) -> Column:
-    """The same for a map: by key, as a map has no order of its own."""
-    return question_of(F.array_sort(F.map_entries(pair)))
+    """The same for a map, in the order of its entries, which is that of the JSON or the file it was read from."""
+    return question_of(F.map_entries(pair))
 
 
 def chat_turns(pairs: Column, media: str = IMAGE, count: Column | int = 1) -> Column:

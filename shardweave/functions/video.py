@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -32,26 +34,37 @@ def relative_timestamp(t: Column, length: Column, scale: int = 1000) -> Column:
     return F.when(length > 0, F.bround(t / length * scale, 1))
 
 
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value worked out once, however often it is used, inside lambdas too."""
+    return F.transform(F.array(value), use)[0]
+
+
 def uniform_sample(items: Column, n: int) -> Column:
     """All items if there are at most ``n``; else ``n`` of them in whole steps from the first (the end may not be reached)."""
-    step = F.lit(1) if n <= 1 else F.greatest(F.floor((F.size(items) - 1) / (n - 1)), F.lit(1)).cast("int")
-    return F.when(F.size(items) <= n, items).otherwise(F.transform(F.sequence(F.lit(0), F.lit(max(n, 1) - 1)), lambda i: F.get(items, i * step)))
+    return _let(items, lambda x: _steps(x, F.lit(n)))
+
+
+def _steps(items: Column, n: Column) -> Column:
+    step = F.when(n <= 1, 1).otherwise(F.greatest(F.floor((F.size(items) - 1) / F.greatest(n - 1, F.lit(1))), F.lit(1))).cast("int")
+    places = F.transform(F.sequence(F.lit(0), F.greatest(n, F.lit(1)) - 1), lambda i: i)
+    return F.when(F.size(items) <= n, items).otherwise(_let(step, lambda k: F.transform(places, lambda i: F.get(items, i * k))))
 
 
 def key_frames(frames: Column, most_i: int = 8, total: int = 24) -> Column:
     """STRUCT<i_frames, p_frames> of ARRAY<STRUCT<idx, kind>>: sampled intra frames with the last frame added,
     and as many others as fill up ``total``, their last left out."""
-    order = F.array_sort(frames)
-    n = F.size(order)
-    number = lambda a: F.transform(a, lambda f: f["idx"])
-    intra = F.concat(number(F.filter(order, lambda f: f["kind"] == "I")), F.when(n > 0, F.array(F.element_at(order, n)["idx"])).otherwise(F.array().cast("array<int>")))
-    other = number(F.filter(order, lambda f: f["kind"] != "I"))
-    other = F.slice(other, 1, F.greatest(F.size(other) - 1, F.lit(0)))
-    chosen = uniform_sample(intra, most_i)
-    room = F.lit(total) - F.size(chosen)
-    step = F.greatest(F.floor((F.size(other) - 1) / F.greatest(room - 1, F.lit(1))), F.lit(1)).cast("int")
-    rest = F.when(F.size(other) <= room, other).otherwise(F.transform(F.sequence(F.lit(0), room - 1), lambda i: F.get(other, i * step)))
-    return F.struct(chosen.alias("i_frames"), rest.alias("p_frames"))
+
+    def parts(order: Column) -> Column:
+        n = F.size(order)
+        number = lambda a: F.transform(a, lambda f: f["idx"])
+        intra = F.concat(number(F.filter(order, lambda f: f["kind"] == "I")), F.when(n > 0, F.array(F.element_at(order, n)["idx"])).otherwise(F.array().cast("array<int>")))
+        other = number(F.filter(order, lambda f: f["kind"] != "I"))
+        return F.struct(uniform_sample(intra, most_i).alias("i"), _let(other, lambda o: F.slice(o, 1, F.greatest(F.size(o) - 1, F.lit(0)))).alias("o"))
+
+    def chosen(p: Column) -> Column:
+        return F.struct(p["i"].alias("i_frames"), _steps(p["o"], F.lit(total) - F.size(p["i"])).alias("p_frames"))
+
+    return _let(F.array_sort(frames), lambda order: _let(parts(order), chosen))
 
 
 def merge_key_frames(i_frames: Column, p_frames: Column) -> Column:

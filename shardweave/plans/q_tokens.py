@@ -24,12 +24,7 @@ def pack_nextfit(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def pack_fold(spark: SparkSession, sf: str) -> DataFrame:
-    rows = F.array_sort(F.collect_list(F.struct("doc_id", "n")))
-    g = lengths(spark, sf).groupBy("source").agg(rows.alias("r"))
-    bins = packing.fold_bins(F.transform("r", lambda x: x["n"]))
-    last = F.aggregate(bins, F.lit(0), lambda a, b: F.greatest(a, F.when(b < 0, -1 - b).otherwise(b)))
-    out = g.select("source", "r", bins.alias("b"), last.alias("last")).select("source", "last", F.explode(F.arrays_zip("r", "b")).alias("z"))
-    return out.filter("z.b >= 0 and z.b < last").select("source", F.col("z.r.doc_id").alias("doc_id"), F.col("z.b").cast("bigint").alias("bin"))
+    return packing.pack_folded(lengths(spark, sf), "source", "doc_id", "n").select("source", "doc_id", F.col("bin").cast("bigint").alias("bin"))
 
 
 def pack_summary(spark: SparkSession, sf: str) -> DataFrame:
@@ -187,10 +182,10 @@ ORACLES = {
     + """SELECT sample_id, CASE WHEN turns IS NULL THEN NULL ELSE CAST(coalesce(list_sum([coalesce(CASE WHEN x.role = 'human'
               THEN length(replace(x.value, '<image>', '<im_start>' || repeat('<im_patch>', 256) || '<im_end>')) ELSE length(x.value) END, 0) FOR x IN turns]), 0) AS BIGINT) END AS n_chars FROM t""",
     "qa_questions": """
-      SELECT DISTINCT qa_id, CAST(i - 1 AS BIGINT) AS pair_no, array_to_string([value[i][k] FOR k IN list_sort(map_keys(value[i])) IF k <> 'a'], '') AS question
+      SELECT DISTINCT qa_id, CAST(i - 1 AS BIGINT) AS pair_no, array_to_string([value[i][k] FOR k IN map_keys(value[i]) IF k <> 'a'], '') AS question
       FROM (SELECT qa_id, value, unnest(range(1, len(value) + 1)) AS i FROM manifest_qa WHERE len(value) > 0)""",
     "chat_turns": """
-      SELECT DISTINCT qa_id, CAST(2 * len(value) AS BIGINT) AS n_turns, array_to_string([value[1][k] FOR k IN list_sort(map_keys(value[1])) IF k <> 'a'], '') || '<video>' AS first_human,
+      SELECT DISTINCT qa_id, CAST(2 * len(value) AS BIGINT) AS n_turns, array_to_string([value[1][k] FOR k IN map_keys(value[1]) IF k <> 'a'], '') || '<video>' AS first_human,
              coalesce(value[len(value)]['a'], '') AS last_reply FROM manifest_qa WHERE len(value) > 0""",
     "caption_denylist": "SELECT rec_id FROM manifest WHERE value IS NOT NULL AND NOT ("
     + " OR ".join(f"contains(lower(value), '{w}')" for w in conv.BLACK_WORDS)

@@ -16,15 +16,17 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Most rows that a broadcast side may have; beyond it the shuffle join is used.
-BROADCAST_ROWS = 200_000
+#: Most rows and bytes (as JSON) that a broadcast side may have; beyond either the shuffle join is used.
+BROADCAST_ROWS, BROADCAST_BYTES = 200_000, 64 << 20
 _written: list[tuple[SparkSession, str]] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share: ``spark.checkpoint.dir``, or a local one where it is unset."""
+    """The folder that all executors share: ``spark.checkpoint.dir``, or in local mode, where it is unset, one of our own."""
     where = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not where:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         where = "file://" + tempfile.mkdtemp(prefix="shardweave-")
         spark.conf.set("spark.checkpoint.dir", where)
     return where.rstrip("/")
@@ -64,12 +66,14 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def broadcast_checked(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """``df`` with a broadcast hint if it has at most ``max_rows`` rows, else ``df`` unchanged.
+def broadcast_checked(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """``df`` with a broadcast hint if it has at most ``max_rows`` rows and ``max_bytes`` bytes, else ``df`` unchanged.
 
     The check reads at most ``max_rows + 1`` rows.
     """
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+    size = F.sum(F.length(F.to_json(F.struct("*"))).cast("bigint"))
+    n, held = df.limit(max_rows + 1).agg(F.count(F.lit(1)), size).first()
+    return F.broadcast(df) if n <= max_rows and (held or 0) <= max_bytes else df
 
 
 @contextmanager

@@ -10,7 +10,6 @@ import re
 import shlex
 import subprocess
 import sys
-import tempfile
 import uuid
 from collections.abc import Callable
 from typing import BinaryIO
@@ -158,11 +157,17 @@ def is_archive(path: str) -> bool:
 
 
 def cached(url: str, folder: str | None = None, limit: int = -1) -> str:
-    """Local path of a shard: itself if local, else its copy in the cache; what is no archive is deleted again."""
+    """Local path of a shard: itself if local, else its copy in the cache; what is no archive is deleted again.
+
+    The cache folder is named by the caller or by WDS_CACHE (its size by WDS_CACHE_SIZE); there is no default.
+    """
     parsed = urlparse(url)
     if parsed.scheme in ("", "file"):
         return re.sub("^file:(//)?", "", url)
-    folder = folder or os.path.join(tempfile.gettempdir(), "shard-cache")
+    folder = folder or os.environ.get("WDS_CACHE")
+    if not folder:
+        raise ValueError(f"{url}: name a cache folder (cache_dir or WDS_CACHE)")
+    limit = limit if limit >= 0 else int(os.environ.get("WDS_CACHE_SIZE", -1))
     where, name = os.path.split(parsed.path)
     to = os.path.join(folder, re.sub(CACHE_CHARS, "_", where.lstrip("/")), name)
     if not os.path.exists(to):

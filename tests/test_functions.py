@@ -153,7 +153,7 @@ def test_codecs():
         assert np.array_equal(got, value) if name in ("npy", "ten") else got == value
     assert c.decode("bin", b"x") == b"x" and c.decode("__key__", b"k") == "k" and c.decode("txt", None) is None
     assert list(c.decode("npz", c.encode("npz", {"a": np.arange(2)}))) == ["a"]
-    for name in ("mp4", "pth", "mp", "pyd", "flac"):
+    for name in ("mp4", "pth", "pyd", "flac"):
         with pytest.raises(ImportError):
             c.decode(name, b"x")
     with pytest.raises(ValueError, match="no decoder"):

@@ -11,7 +11,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from shardweave.functions import cbor
+from shardweave.functions import cbor, codecs
 from shardweave.operators import compaction, errors, fields, order, packing, quality, samples, sampling, sharding, skew
 from shardweave.plans import jobs
 from shardweave.plans.samples import Pipeline, Samples, pipeline
@@ -394,6 +394,13 @@ def test_fluent(spark, tmp_path):
         len(s)
 
 
+def test_fold_and_stream_pack_alike(spark):
+    df = spark.createDataFrame([(g, i, None if i % 17 == 3 else (i * 37) % 90 + (60 if i % 29 == 0 else 0)) for g in ("a", "b", None) for i in range(80)], "g string, i int, n int")
+    plain = lambda d: sorted(((r.g or "", r.i, r.n, r.bin) for r in d.collect()))
+    assert plain(packing.pack_folded(df, "g", "i", "n", 120)) == plain(packing.pack_folded(df, "g", "i", "n", 120, most_rows=10))
+    assert packing.pack_folded(df.limit(0), "g", "i", "n").count() == 0
+
+
 def test_shards_by_size(spark):
     df = spark.createDataFrame([("g", i, 40) for i in range(10)], "g string, i int, n int")
     assert [r.shard for r in sharding.shards_by_size(df, "n", "i", 100, "g").orderBy("i").collect()] == [0, 0, 0, 1, 1, 1, 2, 2, 2, 3]
@@ -459,6 +466,7 @@ def test_runtime(spark):
     assert spark.conf.get("spark.sql.shuffle.partitions") == "4"
     small, large = spark.range(5), spark.range(50)
     assert "broadcast" in broadcast_checked(small, 10)._jdf.queryExecution().toString().lower()
+    assert "broadcast" not in broadcast_checked(small, 10, 20)._jdf.queryExecution().toString().lower()
     assert "broadcast" not in broadcast_checked(large, 10)._jdf.queryExecution().toString().lower()
 
 
