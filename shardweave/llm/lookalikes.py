@@ -10,10 +10,13 @@ from __future__ import annotations
 import re
 import unicodedata as ud
 from collections import Counter, defaultdict
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
+from functools import lru_cache
 
 import ahocorasick
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -41,6 +44,7 @@ _JOINED_EMOJI = re.compile(f"(?<=[{EMOJI}\ufe0f])\u200d(?=[{EMOJI}])")
 _MARKED = re.compile("[^\\W\\d][\u0300-\u036f]+")
 #: Rows of one text or class that one task of a join gets at most (about).
 JOIN_BLOCK = 100_000
+_MARKS = re.compile("[\u0300-\u036f]+")
 _KEEP = "\ue000"  # stands for the joiner of an emoji sequence, which is visible, while invisible ones go
 
 
@@ -123,10 +127,12 @@ class Greedy:
     """Leftmost-longest replacement of the strings of a table."""
 
     def __init__(self, table: dict[str, str]):
-        self.first = {k[0] for k in table}
         self.single = {ord(k): v for k, v in table.items() if len(k) == 1}
         #: Every longer pattern holds one of these; a text without them needs no more than single characters.
         self.signs = {next((c for c in k if ud.combining(c)), k[0]) for k in table if len(k) > 1}
+        self.all = self.signs | {chr(k) for k in self.single}
+        plain = "".join(sorted(c for c in self.all if c.isascii()))
+        self.in_ascii = re.compile(f"[{re.escape(plain)}]").search if plain else lambda _: None
         self.long = ahocorasick.Automaton()
         for k, v in table.items():
             self.long.add_word(k, (len(k), v))
@@ -134,9 +140,12 @@ class Greedy:
             self.long.make_automaton()
 
     def __call__(self, text: str) -> str:
-        if self.first.isdisjoint(text):
+        if text.isascii() and not self.in_ascii(text):
             return text
-        if self.signs.isdisjoint(text):
+        chars = set(text)
+        if self.all.isdisjoint(chars):
+            return text
+        if self.signs.isdisjoint(chars):
             return text.translate(self.single)
         out, done = [], 0
         for end, (n, to) in self.long.iter_long(text):
@@ -162,35 +171,54 @@ class Rewriter:
     def __call__(self, text: str) -> str:
         """The consistent form; rewriting it again changes nothing."""
         if not text.isascii() or "\r" in text:
-            text = _JOINED_EMOJI.sub(_KEEP, text)
+            joined = "\u200d" in text and _JOINED_EMOJI.search(text)
+            text = ud.normalize("NFC", _JOINED_EMOJI.sub(_KEEP, text) if joined else text)
             for _ in range(4):
-                new = ud.normalize("NFC", self.fixed(ud.normalize("NFC", text)))
+                new = ud.normalize("NFC", self.fixed(text))
                 if new == text:
                     break
                 text = new
-            text = text.replace(_KEEP, "\u200d")
+            text = text.replace(_KEEP, "\u200d") if joined else text
         return ud.normalize("NFC", self.spelling(text))
 
 
+@lru_cache(maxsize=1)
+def _members() -> tuple[np.ndarray, set[str], list[str], list[str]]:
+    """Class members: code points, marked letters, other strings of several characters without and with marks."""
+    known = {s for m in look_alike_classes() for s in m if s}
+    multi = {s for s in known if len(s) > 1}
+    rest = sorted(s for s in multi if not _MARKED.fullmatch(s))
+    return np.array(sorted(ord(s) for s in known - multi)), multi, [s for s in rest if not _MARKS.search(s)], [s for s in rest if _MARKS.search(s)]
+
+
+def count_forms(texts: list[str]) -> dict[str, int]:
+    """Occurrences of every class member in some texts: code points by an array, longer members around their marks."""
+    single, multi, plain, marked = _members()
+    whole = "\n".join(texts)
+    counts = np.bincount(np.frombuffer(whole.encode("utf-32-le", "surrogatepass"), np.uint32), minlength=int(single[-1]) + 1)[single]
+    seen = Counter({chr(c): n for c, n in zip(single[counts > 0].tolist(), counts[counts > 0].tolist(), strict=True)})
+    seen.update({s: n for s in plain if (n := whole.count(s))})
+    if _MARKS.search(whole):
+        for m in _MARKS.finditer(whole):
+            if m.start() and (s := whole[m.start() - 1] + m[0]) in multi and _MARKED.fullmatch(s):
+                seen[s] += 1
+        seen.update({s: n for s in marked if (n := whole.count(s))})
+    return seen
+
+
 def form_frequencies(df: DataFrame, text: str) -> dict[str, int]:
     """Occurrences in all texts of every class member.
 
     Counted per partition and summed; at most one row per class member (a few thousand) reaches the driver.
     """
-    known = {s for m in look_alike_classes() for s in m if s}
-    multi = {s for s in known if len(s) > 1}
-    unmarked = [s for s in multi if not _MARKED.fullmatch(s)]
 
-    def count(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: Counter[str] = Counter()
         for b in batches:
-            whole = "\n".join(b[text].dropna())
-            seen.update({c: n for c, n in Counter(whole).items() if c in known})
-            seen.update(s for s in _MARKED.findall(whole) if s in multi)
-            seen.update({s: n for s in unmarked if (n := whole.count(s))})
-        yield pd.DataFrame({"form": list(seen), "n": list(seen.values())}, dtype=object).astype({"n": "int64"})
+            seen.update(count_forms(b.column(0).drop_null().to_pylist()))
+        yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())], names=["form", "n"])
 
-    rows = df.select(text).mapInPandas(count, "form string, n long").groupBy("form").agg(F.sum("n").alias("n")).collect()
+    rows = df.select(text).mapInArrow(count, "form string, n long").groupBy("form").agg(F.sum("n").alias("n")).collect()
     return {r["form"]: r["n"] for r in rows}
 
 
