@@ -231,15 +231,17 @@ class Languages:
 
     def best(self, words: list[str], ascii_only: bool) -> str | None:
         """The likeliest language."""
-        votes = [x for x in map(self.likely.get, words) if x] if ascii_only else ()
+        if not ascii_only and (one := self.script(words)):
+            return one
+        votes = [x for x in map(self.likely.get, words) if x]
         if votes and 10 * votes.count(votes[0]) >= 9 * len(votes):
             return votes[0]
-        scores = self.scores(words, ascii_only)
+        scores = self.scores(words, True)
         return max(scores, key=scores.get) if scores else None
 
-    def scores(self, words: list[str], ascii_only: bool = False) -> dict[str, float]:
+    def scores(self, words: list[str], latin: bool = False) -> dict[str, float]:
         """Log score of each language; a language of another script is out of the question."""
-        if not ascii_only and (one := self.script(words)):
+        if not latin and (one := self.script(words)):
             return {lang: 0.0 if lang == one else -50.0 for lang in LANGS}
         get = self.words.get
         known = [x for x in (get(k) or get(f"~{k[-3:]}") for k in words) if x]
@@ -650,9 +652,11 @@ class Tagger:
         if _QUOTE.search(text):
             told = [words_of(QUOTED.sub(" ", c.replace("’", "'"))) for c in cs]
         plain = text.isascii()
-        own, suspect = bool(asked), False
-        if asked and not (plain and self.languages.surely(asked, sum(words, []))):
-            whole = self.languages.scores(sum(words, []), plain)
+        own, suspect, flat = bool(asked), False, sum(words, [])
+        if asked and (one := None if plain else self.languages.script(flat)):
+            suspect = one != asked
+        elif asked and not self.languages.surely(asked, flat):
+            whole = self.languages.scores(flat, True)
             own, suspect = bool(whole), bool(whole) and max(whole, key=whole.get) != asked
         for i, (c, w) in enumerate(zip(cs, words, strict=True)):
             m = _BIT["bias"] | (_BIT["first"] if i == 0 else 0) | (_BIT["asks"] if c.endswith(("?", "？")) else 0)
