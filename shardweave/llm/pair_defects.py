@@ -467,6 +467,12 @@ def with_unknown_end(seen: Seen) -> Seen:
     return Seen(seen.clauses, seen.words, [*seen.masks[:-1], seen.masks[-1] & ~_LAST_WORDS | unknown], seen.told)
 
 
+def _log_sum(x: np.ndarray, axis: int) -> np.ndarray:
+    """Logarithm of the sum of exponentials."""
+    top = x.max(axis=axis, keepdims=True)
+    return np.log(np.exp(x - top).sum(axis=axis)) + top.squeeze(axis)
+
+
 class Field:
     """Linear-chain conditional random field over the clauses of one response.
 
@@ -525,16 +531,16 @@ class Field:
                 fwd, bwd = np.empty_like(s), np.zeros_like(s)
                 fwd[:, 0] = s[:, 0]
                 for p in range(1, length):
-                    fwd[:, p] = s[:, p] + np.logaddexp.reduce(fwd[:, p - 1, :, None] + self.t, axis=1)
+                    fwd[:, p] = s[:, p] + _log_sum(fwd[:, p - 1, :, None] + self.t, 1)
                 for p in range(length - 2, -1, -1):
-                    bwd[:, p] = np.logaddexp.reduce(self.t + (s[:, p + 1] + bwd[:, p + 1])[:, None, :], axis=2)
-                z = np.logaddexp.reduce(fwd[:, -1], axis=1)[:, None]
+                    bwd[:, p] = _log_sum(self.t + (s[:, p + 1] + bwd[:, p + 1])[:, None, :], 2)
+                z = _log_sum(fwd[:, -1], 1)[:, None]
                 wrong = (np.exp(fwd + bwd - z[..., None]) - eye[y]) * weight / total
-                gw += np.einsum("nlf,nlk->fk", x, wrong)
+                gw += x.reshape(-1, x.shape[2]).T @ wrong.reshape(-1, wrong.shape[2])
                 gl += np.bincount(terms, weights=wrong[..., 1].ravel()[rows], minlength=len(lex))
                 for p in range(1, length):
                     pair = np.exp(fwd[:, p - 1, :, None] + self.t + (s[:, p] + bwd[:, p])[:, None, :] - z[:, :, None])
-                    gt += ((pair * weight).sum(0) - np.einsum("ni,nj->ij", eye[y[:, p - 1]] * weight[:, 0], eye[y[:, p]])) / total
+                    gt += ((pair * weight).sum(0) - (eye[y[:, p - 1]] * weight[:, 0]).T @ eye[y[:, p]]) / total
             gw[:, :2] = 0  # nothing but words tells a refusal from an answer
             gw2 += gw**2
             gt2 += gt**2
