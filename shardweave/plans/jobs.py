@@ -81,6 +81,12 @@ SAMPLES: dict[str, Kind] = {
 }
 
 
+def register_kind(name: str, kind: Kind, expansion: str = "un") -> None:
+    """A kind of sample of your own for the pack job, made from the manifest's columns, ``paths`` and ``images``."""
+    SAMPLES[name] = kind
+    EXPANSION[name] = expansion
+
+
 def prepared(manifest: DataFrame, kind: str) -> DataFrame:
     """A manifest of any adapter with the columns that samples of ``kind`` are made of; rows that lack them are an error at once.
 
@@ -88,8 +94,8 @@ def prepared(manifest: DataFrame, kind: str) -> DataFrame:
     cannot be cut into questions are dropped; key frames come as ``frames``, ARRAY<STRUCT<idx, kind>>, or as
     ``steps`` and ``kinds`` beside ``images``.
     """
-    if kind not in KINDS:
-        raise ValueError(f"{kind!r} is none of {KINDS}")
+    if kind not in SAMPLES:
+        raise ValueError(f"{kind!r} is none of {tuple(SAMPLES)}")
     types = dict(manifest.dtypes)
     out = manifest
 
@@ -100,6 +106,8 @@ def prepared(manifest: DataFrame, kind: str) -> DataFrame:
     path, value = types.get("video_path"), types.get("value", "")
     if path:
         out = out.withColumn("paths", _one("video_path") if path == "string" else _list("video_path"))
+    if kind not in KINDS:
+        return out
     if kind in ("unicontrol",):
         need("source", "target", "value")
         return out
@@ -139,11 +147,9 @@ def pack(manifest: DataFrame, job: PackJob, total: int | None = None, media: Col
     Files of a sample are read in the task that writes it (``job.media``); one file is the field EXT, several are
     ``0.EXT``, ``1.EXT`` ..., and images are always numbered.
     """
-    kind = SAMPLES[job.kind] if job.kind in SAMPLES else None
-    if kind is None:
-        raise ValueError(f"{job.kind!r} is none of {KINDS}")
-    total = manifest.count() if total is None else total
     rows = prepared(manifest, job.kind)
+    kind = SAMPLES[job.kind]
+    total = manifest.count() if total is None else total
     mine = order.stride(rows, job.machine, job.machines).withColumn(order.POS, F.floor(F.col(order.POS) / job.machines).cast("bigint"))
     n = len(range(job.machine, total, job.machines))
     placed = order.chunks(mine, n, job.jobs, job.per_tar)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 import pyarrow as pa
@@ -16,7 +17,7 @@ from ..operators import errors, fields, order, sampling
 from ..operators.samples import valid_samples
 from ..operators.sharding import shards_by_size
 from ..runtime import materialize
-from ..sources.tarshards import read_samples, write_shards
+from ..sources.tarshards import list_shards, read_samples, write_shards
 
 Step = Callable[[DataFrame], DataFrame]
 
@@ -60,11 +61,28 @@ class Samples:
         self.df, self.length = df, length
 
     @classmethod
-    def from_shards(cls, spark: SparkSession, path: str, on_error: str = "fail", shuffle_shards: int | None = None, suffixes: list[str] | None = None, **options: object) -> Samples:
-        """Samples of tar shards; ``shuffle_shards`` is a seed for the order of shards, else they are in name order."""
+    def from_shards(
+        cls, spark: SparkSession, path: str, on_error: str = "fail", shuffle_shards: int | None = None, suffixes: list[str] | None = None,
+        node: tuple[int, int] | None = None, resampled: int | None = None, repeat: int = 1, epoch: int = 0, **options: object,
+    ) -> Samples:
+        """Samples of tar shards; ``shuffle_shards`` is a seed for the order of shards, else they are in name order.
+
+        ``node``: (rank, world) takes every world-th shard; ``resampled``: so many shards drawn with replacement, for
+        ``epoch``; ``repeat``: passes over all.  Other options go to the reader (match, rename, cache, pushdown ...).
+        """
+        listed = list_shards(path)
+        if node is not None:
+            listed = listed[node[0] :: node[1]]
+            path = "::".join(listed)
+        if resampled is not None:
+            drawn = [(i, listed[int(hashlib.md5(f"{epoch}|{i}".encode()).hexdigest()[:8], 16) % len(listed)]) for i in range(resampled)] if listed else []  # noqa: S324 - no secret
+            got = valid_samples(read_samples(spark, "::".join(sorted({u for _, u in drawn})), suffixes, on_error="fail" if on_error == "fail" else "skip", **options))
+            got = got.join(spark.createDataFrame(drawn, "draw bigint, url string"), "url")
+            return cls(order.pos_overall(got, "draw", "seq")).repeat(repeat)
         got = read_samples(spark, path, suffixes, on_error="fail" if on_error == "fail" else "skip", **options)
         shard = F.col("url") if shuffle_shards is None else sampling.shuffle_order(F.col("url"), shuffle_shards)
-        return cls(order.pos_overall(valid_samples(got).withColumn("__shard__", shard), "__shard__", "url", "seq").drop("__shard__"))
+        out = cls(order.pos_overall(valid_samples(got).withColumn("__shard__", shard), "__shard__", "url", "seq").drop("__shard__"))
+        return out if repeat == 1 else out.repeat(repeat)
 
     def then(self, *steps: Step | list | None) -> Samples:
         return Samples(pipeline(self.df, *steps))
@@ -199,6 +217,11 @@ class Samples:
         """Written to the shared folder: survives lost executors and cuts the lineage."""
         return Samples(materialize(self.df, "samples"), self.length)
 
+    def loader(self, size: int, partial: bool = True):
+        """Batches in order, each a dict of lists: for a training loop on the driver, one partition fetched ahead."""
+        for r in self.batched(size, partial).df.orderBy("batch").toLocalIterator(prefetchPartitions=True):
+            yield {k: v for k, v in r.asDict().items() if k != "batch"}
+
     def __iter__(self):
         """Rows in order, fetched partition by partition (for a training loop on the driver)."""
         return self.df.orderBy(order.POS).toLocalIterator(prefetchPartitions=True)

@@ -8,9 +8,10 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from shardweave.functions import codecs, tokenizers
+from shardweave.functions import codecs, tokenizers, y4m
 from shardweave.operators import order, quality
 from shardweave.plans import jobs
+from shardweave.plans.samples import Samples
 from shardweave.sources import media, openers, shardlists
 from shardweave.sources.tarshards import read_samples, write_shards
 
@@ -185,3 +186,37 @@ def test_decode_hooks():
     c = codecs.Codecs(pre=[lambda n, b: b.upper() if n == "a.txt" else None], post=[lambda n, b: len(b)], only=["a.txt", "b.txt", "c.what"])
     assert [c.decode(n, b"xy") for n in ("a.txt", "b.txt", "c.what", "d.txt")] == [b"XY", "xy", 2, b"xy"]
     assert io.BytesIO(codecs.Codecs().encode("x.npy", np.arange(3))).read(6) == b"\x93NUMPY"
+
+
+def test_video_frames(spark, tmp_path):
+    clip = [np.full((4, 6), 10 * i, np.uint8) for i in range(9)]
+    (tmp_path / "a.y4m").write_bytes(y4m.encode(clip, 3) + b"FRAME\ncut off")
+    df = spark.createDataFrame([(1, f"{tmp_path}/a.y4m", [0, 4, 99]), (2, None, None)], "i int, p string, at array<int>")
+    assert [tuple(r.v) if r.v else None for r in df.select(media.video_info(F.col("p")).alias("v")).collect()] == [(9, 3.0, 3.0, 7), None]
+    got = {r.i: r.clip for r in media.clip_frames(df, "p", "at").collect()}
+    assert [int(codecs.decode_png(bytes(got[1][f"{k}.png"]))[0, 0, 0]) for k in range(3)] == [0, 40, 80] and got[2] == {}
+    with pytest.raises(ImportError, match="mp4"):
+        media.open_video("x.mp4")
+    with pytest.raises(ValueError):
+        y4m.Y4M(b"no")
+    colour = y4m.Y4M(b"YUV4MPEG2 W2 H2 F1:1 C420\nFRAME\n" + bytes([100] * 4 + [128, 128]))
+    assert (colour.read(0) == 100).all() and colour.frames == 1
+
+
+def test_own_kind(spark, monkeypatch):
+    monkeypatch.setattr(jobs, "SAMPLES", dict(jobs.SAMPLES))
+    jobs.register_kind("pages", jobs.Kind(lambda: F.col("paths"), lambda names: F.struct(F.col("value").alias("page")), "html"))
+    df = spark.createDataFrame([(0, "v", "c")], "__pos__ bigint, video_path string, value string")
+    assert json.loads(bytes(jobs.pack(df, jobs.PackJob("pages"), 1).first().fields["json"])) == {"page": "c"}
+
+
+def test_constructor_options(spark, tmp_path, files):
+    df = spark.range(12).select(F.format_string("s-%d.tar", F.col("id") % 4).alias("shard"), F.format_string("%03d", "id").alias("key"), F.create_map(F.lit("txt"), F.encode(F.col("id").cast("string"), "UTF-8")).alias("fields"))
+    write_shards(df, f"{tmp_path}/s")
+    keys = lambda s: [r.key for r in s.df.orderBy(order.POS).collect()]
+    one, two = (Samples.from_shards(spark, f"{tmp_path}/s", node=(i, 2)) for i in range(2))
+    assert sorted(keys(one) + keys(two)) == [f"{i:03d}" for i in range(12)] and keys(one) == ["000", "004", "008", "002", "006", "010"]
+    drawn = Samples.from_shards(spark, f"{tmp_path}/s", resampled=6, epoch=1)
+    assert len(keys(drawn)) == 18 and keys(drawn) == keys(Samples.from_shards(spark, f"{tmp_path}/s", resampled=6, epoch=1))
+    assert len(keys(Samples.from_shards(spark, f"{tmp_path}/s", repeat=2))) == 24
+    assert [len(b["key"]) for b in one.loader(4)] == [4, 2]
