@@ -170,6 +170,10 @@ def _look_alike_sql(body: str) -> str:
     """Texts rewritten by single characters after canonical composition: enough to tell the classes of pairs apart."""
     swap = dict(x[::-1] for x in _PAIRS.split()) | dict.fromkeys(map(chr, _BLANK), " ") | {"\u2010": "-", "\u2011": "-"}
     swap |= {chr(n): x for n in _BY_UNICODE if len(x := ud.normalize("NFKC", chr(n))) == 1 and x != chr(n)}
+    for c in map(chr, (*range(0x370, 0x530), *range(0x1F00, 0x2000))):  # composed letters of other scripts, by their base
+        base, *marks = ud.normalize("NFD", c)
+        if marks and len(x := ud.normalize("NFC", swap.get(base, base) + "".join(marks))) == 1 and x != c:
+            swap[c] = x
     old, new = "".join(swap), "".join(swap.values())
     form = f"nfc_normalize(translate(nfc_normalize(translate(text, '{''.join(map(chr, _GONE))}', '')), '{old}', '{new.replace("'", "''")}'))"
     return f"""
