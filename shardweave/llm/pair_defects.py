@@ -832,8 +832,8 @@ def question_pairs(qa: DataFrame, packed: DataFrame) -> DataFrame:
     return _qa_pairs(qa).unionByName(_packed_pairs(packed))
 
 
-def count_statistics(pairs: DataFrame) -> tuple[Languages, Endings]:
-    """Language words and text endings of all pairs, counted on the workers and summed before the driver sees them.
+def count_statistics(pairs: DataFrame) -> tuple[Languages, Endings, int]:
+    """Language words and text endings of all pairs, counted on the workers and summed before the driver sees them, and the number of pairs.
 
     A context whose share is of the same class as that of the context one word shorter is left out: the shorter
     one then answers for it.  Single words all stay.
@@ -841,20 +841,23 @@ def count_statistics(pairs: DataFrame) -> tuple[Languages, Endings]:
     ns = [f"n{i}" for i in range(len(SMALL_WORDS))]
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = Counts()
+        counts, pairs = Counts(), 0
         for b in batches:
+            pairs += b.num_rows
             told = [(q or "", a) for q, a in zip(*(c.to_pylist() for c in b.columns), strict=True) if a and not says_nothing(a)]
             counts.count([q for q, _ in told], [a for _, a in told])
             if counts.full():
                 yield counts.batch()
         yield counts.batch()
+        total = [pa.array([None], pa.int64()), pa.array([None], pa.int64()), pa.array([None], pa.string()), *(pa.array([pairs if i == 0 else 0]) for i in range(len(ns)))]
+        yield pa.RecordBatch.from_arrays(total, names=["key", "rest", "word", *ns])
 
     rows = pairs.select("q", "a").mapInArrow(count, SCHEMA)
     sums = rows.groupBy("key", "rest", "word").agg(*(F.sum(n).alias(n) for n in ns))
     kept = materialize(sums.filter(F.col("key").isNull() | (F.col("n0") >= TRUSTED)), "statistics")
 
     word = F.col("word")
-    words = kept.filter("key is null").select(F.explode(F.array(word, F.concat(F.lit("~"), F.substring(word, -3, 3)))).alias("word"), *ns)
+    words = kept.filter("key is null and word is not null").select(F.explode(F.array(word, F.concat(F.lit("~"), F.substring(word, -3, 3)))).alias("word"), *ns)
     words = words.groupBy("word").agg(*(F.sum(n).alias(n) for n in ns))
     total = tuple(n or 0 for n in words.agg(*(F.sum(n) for n in ns)).first())
     languages, endings = Languages(), Endings()
@@ -862,12 +865,13 @@ def count_statistics(pairs: DataFrame) -> tuple[Languages, Endings]:
 
     share = F.col("n1") / F.col("n0")
     verdict = sum((F.when(share < x, 1).otherwise(0) for x in VERDICTS), F.lit(0))
+    pairs_in_all = kept.filter("key is null and word is null").agg(F.sum("n0")).first()[0] or 0
     ends = kept.filter("key is not null").select("key", "rest", "word", "n0", "n1", verdict.alias("verdict"))
     shorter = ends.select(F.col("key").alias("rest"), F.col("verdict").alias("so"))
     telling = ends.filter("word is null").join(shorter, "rest").filter("verdict <> so").select("key", "n0", "n1", "word")
     contexts = ends.filter("word is not null").select("key", "n0", "n1", "word").unionByName(telling)
     endings.learn((r["key"], r["n0"], r["n1"], r["word"]) for r in contexts.toLocalIterator())
-    return languages, endings
+    return languages, endings, pairs_in_all
 
 
 def fit_tagger(pairs: DataFrame, sample: int = SAMPLE) -> Tagger:
@@ -877,10 +881,11 @@ def fit_tagger(pairs: DataFrame, sample: int = SAMPLE) -> Tagger:
     number of partitions.
     """
     order = F.xxhash64("tab", "rec_id", "pair_no")
-    share = min(1.0, (1.2 * sample + 200) / max(1, pairs.count()))
+    languages, endings, total = count_statistics(pairs)
+    share = min(1.0, (1.2 * sample + 200) / max(1, total))
     kept = pairs.select("q", "i", "a", order.alias("h")).filter(F.pmod("h", F.lit(1 << 30)) < int(share * (1 << 30)) + 1)
     rows = kept.orderBy(F.pmod("h", F.lit(1 << 30)), "h", "q", "a").limit(sample).collect()
-    return Tagger().fit([(r["q"] or "", r["i"] or "", r["a"] or "") for r in rows], count_statistics(pairs))
+    return Tagger().fit([(r["q"] or "", r["i"] or "", r["a"] or "") for r in rows], (languages, endings))
 
 
 OUT = "tab string, rec_id bigint, pair_no bigint, defect string"
