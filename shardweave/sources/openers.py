@@ -83,6 +83,25 @@ for _scheme in ("http", "https"):
     register_scheme(_scheme, _http)
 
 
+def arrow_file_system(path: str):
+    """(file system, path in it): the local one, or by URI what Arrow knows (hdfs, viewfs, s3, gs, abfs)."""
+    from pyarrow import fs
+
+    if re.match("[A-Za-z][A-Za-z0-9+.-]*://", path) and not path.startswith("file:"):
+        return fs.FileSystem.from_uri(re.sub("^s3[an]:", "s3:", path))
+    return fs.LocalFileSystem(), re.sub("^file:(//)?", "", path)
+
+
+def arrow_opener(url: str, mode: str) -> BinaryIO:
+    """A file of a file system that Arrow knows."""
+    where, path = arrow_file_system(url)
+    return where.open_input_stream(path, compression=None) if mode == "rb" else where.open_output_stream(path, compression=None)
+
+
+for _scheme in ("hdfs", "viewfs", "s3a", "s3n", "abfs", "abfss"):
+    register_scheme(_scheme, arrow_opener)
+
+
 # Commands that write an object to their output or take it from their input, by scheme.
 COMMANDS = {
     "s3": ("aws s3 cp {url} -", "aws s3 cp - {url}"),

@@ -26,7 +26,7 @@ from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSource
 from pyspark.sql.types import StructType
 
 from ..functions.urls import MEMBER, expand_urls
-from .openers import cached, open_url
+from .openers import arrow_file_system, cached, open_url
 
 SCHEMA = "url string, seq int, fname string, data binary"
 SAMPLES = "url string, run bigint, key string, seq int, fields map<string,binary>"
@@ -49,7 +49,10 @@ class Shard(InputPartition):
 
 
 def list_shards(path: str) -> list[str]:
-    """Sorted shards of a folder, glob, or URL list with ``::`` and braces."""
+    """Sorted shards of a folder, glob, or URL list with ``::`` and braces.
+
+    A URL that ends with ``/`` is a folder of a file system that Arrow knows; hidden files and folders are left out.
+    """
     out = []
     for u in expand_urls(path):
         local = re.sub("^file:(//)?", "", u)
@@ -57,11 +60,23 @@ def list_shards(path: str) -> list[str]:
             out += sorted(f for ext in ("tar", "tgz", "tar.gz") for f in glob.glob(f"{local}/**/*.{ext}", recursive=True))
         elif any(c in local for c in "*?[") and "://" not in local:
             out += sorted(glob.glob(local))
+        elif u.endswith("/") and "://" in u:
+            out += list_folder(u)
         else:
             out.append(u)
     return out
 
 
+def list_folder(url: str) -> list[str]:
+    """Sorted shards below a folder, by Arrow's file systems."""
+    from pyarrow import fs
+
+    where, folder = arrow_file_system(url.rstrip("/"))
+    files = where.get_file_info(fs.FileSelector(folder, recursive=True))
+    names = (f.path[len(folder) :].lstrip("/") for f in files if f.type == fs.FileType.File)
+    return sorted(f"{url.rstrip('/')}/{n}" for n in names if n.endswith((".tar", ".tgz", ".tar.gz")) and not re.search(r"(^|/)[._]", n))
+
+
 def members(stream: io.IOBase, payload: bool = True, match: str | None = None, rename: str | None = None) -> Iterator[tuple[int, str, bytes | None]]:
     """Regular members of a tar stream, compressed or not; hidden ``__x__`` names are passed over."""
     pick = re.compile(match).search if match else None
@@ -227,15 +242,6 @@ class Written(WriterCommitMessage):
     files: list[tuple[str, str]]
 
 
-def _filesystem(path: str):
-    """(file system, path in it): the local one, or by URI what Arrow knows (hdfs, s3, gs, abfs)."""
-    from pyarrow import fs
-
-    if re.match("[A-Za-z][A-Za-z0-9+.-]*://", path) and not path.startswith("file:"):
-        return fs.FileSystem.from_uri(re.sub("^s3[an]:", "s3:", path))
-    return fs.LocalFileSystem(), re.sub("^file:(//)?", "", path)
-
-
 class TarWriter(DataSourceArrowWriter):
     """One tar per value of ``shard``; files appear under their names only when the whole job commits.
 
@@ -249,13 +255,13 @@ class TarWriter(DataSourceArrowWriter):
         if lost := need - set(self.names):
             raise ValueError(f"columns {sorted(lost)} are missing")
         self.staging = f"{self.path}/.staging-{uuid.uuid4().hex}"
-        where, folder = _filesystem(self.staging)
+        where, folder = arrow_file_system(self.staging)
         where.create_dir(folder)
 
     def write(self, batches: Iterator[pa.RecordBatch]) -> Written:
         from pyarrow import fs
 
-        where, folder = _filesystem(self.staging)
+        where, folder = arrow_file_system(self.staging)
         if where.get_file_info(folder).type != fs.FileType.Directory:
             raise RuntimeError(f"{self.path} is not shared: the folder made by the driver is not there on this machine")
         mtime, mode = float(self.options.get("mtime", 0)), int(self.options.get("mode", "0444"), 8)
@@ -292,7 +298,7 @@ class TarWriter(DataSourceArrowWriter):
         return Written(files)
 
     def commit(self, messages: list[Written | None]) -> None:
-        where, folder = _filesystem(self.path)
+        where, folder = arrow_file_system(self.path)
         done = []
         for m in messages:
             for part, name in m.files if m else ():
@@ -303,10 +309,10 @@ class TarWriter(DataSourceArrowWriter):
         if self.options.get("manifest"):
             with where.open_output_stream(f"{folder}/{self.options['manifest']}") as out:
                 out.write(json.dumps(sorted(done)).encode())
-        where.delete_dir(_filesystem(self.staging)[1])
+        where.delete_dir(arrow_file_system(self.staging)[1])
 
     def abort(self, messages: list[Written | None]) -> None:
-        where, folder = _filesystem(self.staging)
+        where, folder = arrow_file_system(self.staging)
         where.delete_dir(folder)
 
 
@@ -362,7 +368,7 @@ def write_shards(df: DataFrame, path: str, order: str = "key", post: Callable[[s
     note = f".written-{uuid.uuid4().hex}.json"
     ready = df.repartition("shard").sortWithinPartitions("shard", order)
     ready.write.format("tarshards").options(**_options(options), manifest=note).mode("append").save(path)
-    where, folder = _filesystem(f"{path.rstrip('/')}/{note}")
+    where, folder = arrow_file_system(f"{path.rstrip('/')}/{note}")
     with where.open_input_stream(folder) as src:
         done = json.loads(src.read())
     where.delete_file(folder)

@@ -12,7 +12,7 @@ from shardweave.functions import codecs, tokenizers, y4m
 from shardweave.operators import order, quality
 from shardweave.plans import jobs
 from shardweave.plans.samples import Samples
-from shardweave.sources import media, openers, shardlists
+from shardweave.sources import media, openers, shardlists, tarshards
 from shardweave.sources.tarshards import read_samples, write_shards
 
 TURNS = [{"from": "user", "value": "<image>what is it"}, {"from": "assistant", "value": "a cat"}]
@@ -220,3 +220,13 @@ def test_constructor_options(spark, tmp_path, files):
     assert len(keys(drawn)) == 18 and keys(drawn) == keys(Samples.from_shards(spark, f"{tmp_path}/s", resampled=6, epoch=1))
     assert len(keys(Samples.from_shards(spark, f"{tmp_path}/s", repeat=2))) == 24
     assert [len(b["key"]) for b in one.loader(4)] == [4, 2]
+
+
+def test_folders_of_other_file_systems(tmp_path):
+    for name in ("b.tar", "a.tgz", "x/c.tar.gz", ".staging-1/d.tar", "e.txt"):
+        (tmp_path / name).parent.mkdir(exist_ok=True)
+        (tmp_path / name).write_bytes(b"data")
+    base = f"file://{tmp_path}"
+    assert tarshards.list_folder(f"{base}/") == [f"{base}/a.tgz", f"{base}/b.tar", f"{base}/x/c.tar.gz"]
+    assert openers.arrow_opener(f"{base}/e.txt", "rb").read() == b"data"
+    assert {"hdfs", "s3a", "abfs"} <= set(openers._openers)
