@@ -213,11 +213,12 @@ def pack_sequences(df: DataFrame, id_col: str = "sample_id", ids: str = "input_i
     if _bytes(spark.conf.get(limit, "64m")) > ARROW_BYTES:
         spark.conf.set(limit, str(ARROW_BYTES))  # read when the plan runs, so it has to stay set
     named = df.select(F.col(id_col).cast("bigint").alias("sample_id"), F.col(ids).cast("array<int>").alias("ids"), F.coalesce(F.col(mask).cast("array<int>"), F.array().cast("array<int>")).alias("mask"))
-    placed = named.filter(F.size("ids") > 0).withColumn("curve", _curve("ids"))
+    usable = named.filter(F.size("ids") > 0)
     salt = [F.col("sample_id"), F.size("ids"), *(F.get("ids", (F.size("ids") * k / 8).cast("int")) for k in range(8))]
     order = [F.col("segment"), F.col("curve"), F.col("sample_id"), F.size("ids"), F.size("mask").desc()]
-    located = placed.withColumn("segment", segment_of(F.col("curve"), salt, curve_segments(placed)))
-    ranged = located.repartition("segment").sortWithinPartitions(*order).select("segment", "curve", "sample_id", "ids", "mask")
+    at = locate(F.col("ids"), salt, curve_segments(usable.withColumn("curve", _curve("ids"))))
+    located = usable.withColumn("at", at).select("at.segment", "at.curve", "sample_id", "ids", "mask")
+    ranged = located.repartition("segment").sortWithinPartitions(*order)
 
     def pack(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer, ready, now, number = Packer(capacity), [], None, 0
@@ -273,19 +274,20 @@ def curve_segments(placed: DataFrame) -> list[tuple[int, int]]:
     return out
 
 
-def segment_of(curve: Column, salt: list[Column], segments: list[tuple[int, int]]) -> Column:
-    """Number of the segment (and part, by the hash of ``salt``) that a sample belongs to."""
-    firsts = np.array([at for at, _ in segments], dtype=np.int64)
-    parts = np.array([n for _, n in segments], dtype=np.int64)
+def locate(ids: Column, salt: list[Column], segments: list[tuple[int, int]]) -> Column:
+    """STRUCT<segment, curve> of a sample; the part of a segment in several parts follows from the hash of ``salt``."""
+    firsts = np.array([at for at, _ in segments] or [0], dtype=np.int64)
+    parts = np.array([n for _, n in segments] or [1], dtype=np.int64)
     bases = np.cumsum(parts) - parts
     shift = DIMENSIONS * BITS - (CELLS - 1).bit_length()
 
-    @F.arrow_udf(T.LongType())
-    def find(position: pa.Array, mixed: pa.Array) -> pa.Array:
-        i = np.searchsorted(firsts, position.to_numpy() >> shift, side="right") - 1
-        return pa.array(bases[i] + mixed.to_numpy() % parts[i])
+    @F.arrow_udf("segment bigint, curve bigint")
+    def find(lists: pa.Array, mixed: pa.Array) -> pa.Array:
+        curve = curve_positions(*_flat(lists))
+        i = np.searchsorted(firsts, curve >> shift, side="right") - 1
+        return pa.StructArray.from_arrays([pa.array(bases[i] + mixed.to_numpy() % parts[i]), pa.array(curve)], names=["segment", "curve"])
 
-    return find(curve, F.pmod(F.xxhash64(*salt), F.lit(1 << 20))) if segments else F.lit(0).cast("bigint")
+    return find(ids, F.pmod(F.xxhash64(*salt), F.lit(1 << 20)))
 
 
 def fill_report(sequences: DataFrame, capacity: int = CAPACITY) -> DataFrame:
