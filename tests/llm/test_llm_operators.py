@@ -589,3 +589,29 @@ def test_ascii_texts_follow_a_member_of_another_script(spark):
 
 def test_arrow_list_of_nothing():
     assert curve_packing._lists([], pa.int32()).to_pylist() == []
+
+
+# ---- dirt that every operator meets ------------------------------------------------------------------------------
+
+
+def test_nulls_long_texts_and_repeats_everywhere(spark):
+    """Null ids and texts, a very long text, repeated rows and clashing names give defined results and no error."""
+    long = "wort " * 200_000
+    docs = spark.createDataFrame([(None, None, "x"), (1, long, "x"), (1, long, "x"), (2, "", None), (None, "a cat", "x")], "doc_id bigint, text string, look string")
+    items = spark.createDataFrame([(None, "a cat"), (7, None), (8, " ".join(WORDS))], "item_id bigint, text string")
+    assert {(r.doc_id, r.item_id) for r in leaks.find_leaks(docs, items).collect()} == {(None, None)}
+    assert lookalikes.look_alike_members(docs).count() == 0 == lookalikes.look_alike_members(docs.limit(0)).count()
+    assert lookalikes.look_alike_pairs(docs).count() == 0
+    ids = bpe.encode_corpus(docs).collect()
+    assert len(ids) == 5 and sorted(len(r.ids) for r in ids)[:2] == [0, 0]
+    manifest = docs.select(F.col("doc_id").alias("rec_id"), F.lit(None).cast("string").alias("video_path"), F.col("text").alias("value"))
+    assert {(r.rec_id, r.first_id, r.n_copies) for r in copies.copy_classes(manifest).collect()} == {(1, 1, 2)}
+    assert copies.collapse_copies(manifest).agg(F.sum("n_copies")).first()[0] == 5
+    counts = budget.text_counts(manifest.withColumns({"dataset": F.lit(None).cast("string"), "lang": F.lit(None).cast("string"), "domain": F.lit(None).cast("string")}))
+    assert budget.token_cube(counts).filter("source = 'unknown' and lang = 'und' and domain = 'unknown'").first().n_records == 5
+    pairs = spark.createDataFrame([("packed", None, None, None, None, None), ("packed", 1, 0, None, None, long), ("packed", 2, 0, long, long, "yes"), ("packed", 2, 0, long, long, "yes"), ("packed", 3, 0, "why?", None, "...")], "tab string, rec_id bigint, pair_no bigint, q string, i string, a string")
+    assert {(r.rec_id, r.defect) for r in pair_defects.find_defects(pairs).collect()} == {(None, "empty"), (3, "empty")}
+    members = spark.createDataFrame([(None, "a", 3), ("x", None, 3), ("y", "a", None), ("z", "a", 0), ("z2", "a", 5)], "item string, source string, size bigint")
+    mix = mixture.draw_mix(members, spark.createDataFrame([("a", 1.0, 2), (None, 0.5, 1), ("b", None, None)], "source string, target_share double, max_repeats int"))
+    assert {r.source: (r.n_available, r.n_drawn) for r in mix.report.collect()} == {"a": (8, 16), "b": (0, 0)}
+    assert sorted((r.item or "", r.n_drawn) for r in mix.drawn.collect()) == [("", 6), ("z2", 10)]
